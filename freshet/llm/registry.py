@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from freshet.llm import bpe, records
+from freshet.llm import bpe, content_sort, language_id, records
 
-MODULES = (bpe, records)
+MODULES = (bpe, records, language_id, content_sort)
 
 
 def queries() -> dict[str, Callable]:

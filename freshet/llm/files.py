@@ -20,7 +20,7 @@ def writing(uri: str) -> Iterator:
     store.create_dir(path.rpartition("/")[0], recursive=True)
     unfinished = f"{path}.{uuid.uuid4().hex}.tmp"
     try:
-        with store.open_output_stream(unfinished, buffer_size=1 << 20) as f:
+        with store.open_output_stream(unfinished, compression=None, buffer_size=1 << 20) as f:
             yield f
         store.move(unfinished, path)
     except BaseException:
@@ -31,7 +31,7 @@ def writing(uri: str) -> Iterator:
 
 def reading(uri: str):
     store, path = _at(uri)
-    return store.open_input_stream(path, buffer_size=1 << 20)
+    return store.open_input_stream(path, compression=None, buffer_size=1 << 20)
 
 
 def random_access(uri: str):

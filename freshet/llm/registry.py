@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from freshet.llm import bpe, content_sort, language_id, licenses, records
+from freshet.llm import bpe, content_sort, language_id, licenses, records, webarchive
 
-MODULES = (licenses, bpe, records, language_id, content_sort)
+MODULES = (licenses, bpe, records, language_id, content_sort, webarchive)
 
 
 def queries() -> dict[str, Callable]:

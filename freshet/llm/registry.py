@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from freshet.llm import bpe, content_sort, language_id, licenses, minhash, records, webarchive
+from freshet.llm import bpe, content_sort, decontaminate, language_id, licenses, minhash, records, webarchive
 
-MODULES = (licenses, bpe, records, minhash, language_id, content_sort, webarchive)
+MODULES = (licenses, decontaminate, bpe, records, minhash, language_id, content_sort, webarchive)
 
 
 def queries() -> dict[str, Callable]:

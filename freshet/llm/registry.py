@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from freshet.llm import bpe, content_sort, decontaminate, language_id, licenses, lm_score, minhash, records, webarchive
+from freshet.llm import bpe, content_sort, decontaminate, language_id, licenses, lm_score, minhash, records, sharding, webarchive
 
-MODULES = (licenses, decontaminate, bpe, records, minhash, language_id, content_sort, webarchive, lm_score)
+MODULES = (sharding, licenses, decontaminate, bpe, records, minhash, language_id, content_sort, webarchive, lm_score)
 
 
 def queries() -> dict[str, Callable]:

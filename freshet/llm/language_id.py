@@ -5,7 +5,8 @@ trained to tell the languages with a one from those with a zero: ridge regressio
 form. A text's distance to a codeword is the squared hinge loss of the bits' margins, each bit weighted by how much better
 than chance it does on the training rows; the nearest codeword wins, and a small gap to the second flags ambiguity.
 
-The classifiers are fitted on a bounded sample: at most ``PER_LANGUAGE`` training rows of each language, chosen by a
+The classifiers are fitted on a bounded sample: at most ``PER_LANGUAGE`` training rows of each language
+(about, and ``IN_ALL`` in all), chosen by a
 hash of doc_id and taken whole. All other steps cover all rows.
 
 Defined results: null text and text without a letter get ``und`` and score 0, as does every text when there is no
@@ -27,12 +28,12 @@ from pyspark.sql import functions as F
 
 from freshet.llm.common import LOWER_BYTES, id_residue, table
 
-#: Training rows of each language.
-PER_LANGUAGE = 1500
+#: Training rows of each language, and of all together.
+PER_LANGUAGE, IN_ALL = 800, 8000
 #: Languages that can be learned at most.
 MOST_LANGUAGES = 256
 #: Hashed features: bytes, pairs and triples have a range each.
-PAIRS, TRIPLES = 1024, 2048
+PAIRS, TRIPLES = 768, 1024
 FEATURES = 256 + PAIRS + TRIPLES
 RIDGE = 1e-3
 #: Below this gap of mean weighted loss between the nearest two codewords, a text is flagged as ambiguous.
@@ -40,6 +41,7 @@ AMBIGUOUS = 0.02
 #: How fast the score saturates with that gap.
 SHARPNESS = 8.0
 BLOCK = 1 << 20
+UNKNOWN = "und"
 
 
 def features(text: str) -> np.ndarray:
@@ -98,12 +100,11 @@ def fit(x: np.ndarray, y: list[str]) -> Decoder:
     languages = sorted(set(y))
     code = codewords(len(languages))
     target = code[[languages.index(v) for v in y]]
-    full = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
+    full = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     # the rows of one language weigh as much as those of another
-    share = np.array([y.count(v) for v in languages], float)[[languages.index(v) for v in y]]
-    root = np.sqrt(1 / share)[:, None]
-    a = (full * root).T @ (full * root) + RIDGE * np.eye(full.shape[1])
-    weights = np.linalg.solve(a, (full * root**2).T @ target)
+    share = np.array([y.count(v) for v in languages], np.float32)[[languages.index(v) for v in y]][:, None]
+    a = (full.T @ (full / share)).astype(np.float64) + RIDGE * np.eye(full.shape[1])
+    weights = np.linalg.solve(a, (full / share).T @ target)
     right = (np.sign(full @ weights) == target).mean(axis=0)
     trust = np.maximum(right - 0.5, 1e-3)
     return Decoder(languages, code, weights, trust / trust.sum())
@@ -117,7 +118,8 @@ def train(docs: DataFrame, label: str = "lang") -> Decoder | None:
         return None
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    share = F.element_at(F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min(1.0, PER_LANGUAGE / n))) for k, n in counts.items())), F.col(label))
+    most = min(PER_LANGUAGE, IN_ALL // len(counts))
+    share = F.element_at(F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min(1.0, most / n))) for k, n in counts.items())), F.col(label))
     sample = rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1 << 20)) < share * (1 << 20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,32 +128,44 @@ def train(docs: DataFrame, label: str = "lang") -> Decoder | None:
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.string()), pa.array([v for _, v in kept], pa.binary())], names=["lang", "x"])
 
     # the limit only binds when many rows share one doc_id
-    got = sample.select(F.col(label).cast("string").alias("lang"), F.col("text").cast("string")).mapInArrow(run, "lang string, x binary").limit(int(1.5 * PER_LANGUAGE * len(counts)) + 200).collect()
+    got = sample.select(F.col(label).cast("string").alias("lang"), F.col("text").cast("string")).mapInArrow(run, "lang string, x binary").limit(int(1.5 * most * len(counts)) + 200).collect()
     got = sorted((r[0], bytes(r[1])) for r in got)
     return fit(np.stack([np.frombuffer(x, np.float32) for _, x in got]), [k for k, _ in got]) if got else None
 
 
-def predict(spark: SparkSession, docs: DataFrame, decoder: Decoder | None, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns with lang_pred, score and ambiguous. One pass, no shuffle."""
-    keep = keep or ["doc_id"]
+def predictions(model: Decoder | None, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+    """Language, score and ambiguity of each text."""
+    out = [(UNKNOWN, 0.0, False)] * len(texts)
+    known = [i for i, t in enumerate(texts) if model and has_letter(t)]
+    for a in range(0, len(known), 1000):
+        at = known[a : a + 1000]
+        for i, k, s, f in zip(at, *model(np.stack([features(texts[i]) for i in at])), strict=True):
+            out[i] = model.languages[k], float(s), bool(f)
+    return out
+
+
+def predict(spark: SparkSession, docs: DataFrame, decoder: Decoder | None) -> DataFrame:
+    """doc_id, lang_pred, score and ambiguous. One pass, no shuffle."""
     shipped = spark.sparkContext.broadcast(decoder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shipped.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            known = [i for i, t in enumerate(texts) if model and has_letter(t)]
-            langs, scores, flags = ["und"] * len(texts), [0.0] * len(texts), [False] * len(texts)
-            for a in range(0, len(known), 1000):
-                at = known[a : a + 1000]
-                for i, k, s, f in zip(at, *model(np.stack([features(texts[i]) for i in at])), strict=True):
-                    langs[i], scores[i], flags[i] = model.languages[k], float(s), bool(f)
-            cols = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(langs), pa.array(scores, pa.float64()), pa.array(flags)], names=[*keep, "lang_pred", "score", "ambiguous"])
-
-    rows = docs.select(*keep, *[] if "text" in keep else ["text"])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return rows.mapInArrow(run, f"{fields}, lang_pred string, score double, ambiguous boolean")
+            cols = list(zip(*predictions(shipped.value, batch.column(1).to_pylist()), strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.bool_())], names=["doc_id", "lang_pred", "score", "ambiguous"])
+
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
+
+
+def accepted(spark: SparkSession, docs: DataFrame, decoder: Decoder | None) -> DataFrame:
+    """The rows that get a language, with all their columns as they are; ambiguous ones stay."""
+    at, shipped = docs.columns.index("text"), spark.sparkContext.broadcast(decoder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([p[0] != UNKNOWN for p in predictions(shipped.value, batch.column(at).to_pylist())], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,6 +86,50 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return inner.unionByName(outer)
 
 
+def _last_of_runs(batches: Iterator[pa.RecordBatch], norm: int) -> Iterator[pa.RecordBatch]:
+    """The last row of each group in a sorted partition, without its normalised text, with its digest and whether the
+    group is the partition's first or last one."""
+
+    def out(rows: pa.RecordBatch, digests: list[str], edge: bool) -> pa.RecordBatch:
+        names = [n for i, n in enumerate(rows.schema.names) if i != norm]
+        return pa.RecordBatch.from_arrays([rows.column(n) for n in names] + [pa.array(digests, pa.string()), pa.array([edge] * len(digests), pa.bool_())], names=[*names, "_digest", "_edge"])
+
+    def digest(text: str) -> str:
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    held, held_text, first = None, None, True
+    for batch in batches:
+        texts = batch.column(norm).to_pylist()
+        if not texts:
+            continue
+        if held is not None and texts[0] != held_text:
+            yield out(held, [digest(held_text)], first)
+            first = False
+        ends = [i for i in range(len(texts) - 1) if texts[i] != texts[i + 1]]
+        if ends and first:
+            yield out(batch.slice(ends[0], 1), [digest(texts[ends[0]])], True)
+            ends, first = ends[1:], False
+        if ends:
+            yield out(batch.take(pa.array(ends)), [digest(texts[i]) for i in ends], False)
+        held, held_text = batch.slice(len(texts) - 1, 1), texts[-1]
+    if held is not None:
+        yield out(held, [digest(held_text)], True)
+
+
+def exact_kept(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows that stay, with all their columns: of equal texts that with the largest doc_id."""
+    norm = lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    ids = [F.col("doc_id"), F.col("_tie")]
+    ordered = docs.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(norm, *ids).withColumn("_norm", norm).sortWithinPartitions("_norm", *ids)
+    at = ordered.columns.index("_norm")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema if f.name != "_norm")
+    found = stored(spark, ordered.mapInArrow(lambda batches: _last_of_runs(batches, at), f"{fields}, _digest string, _edge boolean"), "content-sort-kept")
+    edges = stored(spark, found.where("_edge").groupBy("_digest").agg(F.max(F.struct("doc_id", "_tie")).alias("best")).select(F.col("best._tie").alias("_tie")), "content-sort-edges")
+    if edges.count() <= BROADCAST_ROWS:  # at most two for each partition
+        edges = F.broadcast(edges)
+    return found.where("NOT _edge").unionByName(found.where("_edge").join(edges, "_tie", "left_semi").select(*found.columns)).drop("_tie", "_digest", "_edge")
+
+
 def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(spark, table(spark, sf_dir, "documents")).drop("tie")
 

@@ -49,6 +49,11 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_or_not(table_: DataFrame, rows: int) -> DataFrame:
+    """A written table, to be broadcast if its row count is within the bound; else joins shuffle it."""
+    return F.broadcast(table_) if table_.count() <= rows else table_
+
+
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 

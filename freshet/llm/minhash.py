@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import LOWER, UPPER, stored, table
+from freshet.llm.common import LOWER, UPPER, small_or_not, stored, table
 from freshet.llm.shingles import OnePermutation, set_id, shingle_set
 
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
 BANDS, ROWS = 36, 8
 FINE_BANDS, FINE_ROWS = 128, 16
+#: Tables of keys or ids (up to about 100 bytes a row) are broadcast up to so many rows; beyond, joins shuffle.
+SMALL_ROWS = 500_000
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -69,15 +71,17 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(cols, names=["set_id", "shingles"])
 
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    wanted = nodes.select(F.col("least"), F.col("set_id").alias("wanted"))
+    wanted = nodes.withColumnRenamed("set_id", "wanted")
     return own.join(wanted, F.col("doc_id").eqNullSafe(F.col("least"))).select("text", "wanted").mapInArrow(run, "set_id binary, shingles array<long>").dropDuplicates(["set_id"])
 
 
 def buckets(spark: SparkSession, keyed: DataFrame, name: str) -> DataFrame:
     """Rows of buckets with two or more nodes: key, node, low and high (the least and the greatest node)."""
-    rows = keyed.select(F.explode("keys").alias("key"), F.struct("set_id", "n").alias("node"))
-    hubs = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
-    return stored(spark, rows.join(stored(spark, hubs, f"{name}-hubs"), "key"), name)
+    shared = keyed.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1").select("key")
+    shared = small_or_not(stored(spark, shared, f"{name}-keys"), SMALL_ROWS)
+    rows = stored(spark, keyed.select(F.explode("keys").alias("key"), F.struct("set_id", "n").alias("node")).join(shared, "key"), f"{name}-rows")
+    hubs = stored(spark, rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")), f"{name}-hubs")
+    return stored(spark, rows.join(small_or_not(hubs, SMALL_ROWS), "key"), name)
 
 
 def near_in_size(a: Column, b: Column, percent: int) -> Column:
@@ -130,7 +134,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = PERCENT
     nodes = stored(spark, sketched.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")), "nodes")
     rows = buckets(spark, nodes, "buckets")
     met = stored(spark, rows.select("node.set_id").distinct().join(nodes.select("set_id", "least"), "set_id"), "met")
-    sets = stored(spark, full_sets(docs, met), "sets")
+    sets = stored(spark, full_sets(docs, small_or_not(met, SMALL_ROWS)), "sets")
     links = stored(spark, confirmed(star(rows, "low", percent), sets, percent), "links")
     roots = components(spark, links)
     apart = stored(spark, _apart(spark, rows, roots, "apart").select("node.set_id").distinct(), "apart-nodes")

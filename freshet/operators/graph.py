@@ -49,11 +49,11 @@ def terminals(edges: DataFrame) -> DataFrame:
 
     Each node has one way down (the least, if there are more). Nodes on or above a cycle get the cycle's least node.
     """
-    nxt = edges.groupBy("up").agg(F.min("down").alias("to")).select(F.col("up").alias("node"), "to")
-    ends = edges.select(F.col("down").alias("node")).distinct().join(nxt.select("node"), "node", "left_anti").withColumn("to", F.col("node"))
+    nxt = edges.groupBy("up").agg(F.min("down").alias("to")).select(F.col("up").alias("node"), "to").withColumn("end", F.lit(False))
+    ends = edges.select(F.col("down").alias("node")).distinct().join(nxt.select("node"), "node", "left_anti").select("node", F.col("node").alias("to"), F.lit(True).alias("end"))
     # least: the least node passed after the start's own, so that a full turn of a cycle shows the cycle's least
-    at = cut(nxt.unionByName(ends).withColumn("least", F.col("to")), "pointers")
-    first, n, length = at, at.count(), 1
+    first = cut(nxt.unionByName(ends).withColumn("least", F.col("to")), "pointers")
+    at, n, length = first.drop("end"), first.count(), 1
     while length < 2 * n:
         hop = at.select(F.col("node").alias("_n"), F.col("to").alias("_to"), F.col("least").alias("_least"))
         new = cut(at.join(hop, F.col("to") == F.col("_n")).select("node", F.col("_to").alias("to"), F.least("least", "_least").alias("least"), (F.col("_to") != F.col("to")).alias("moved")), "pointers")
@@ -61,8 +61,8 @@ def terminals(edges: DataFrame) -> DataFrame:
         if not new.where("moved").limit(1).count():
             break
     # after more steps than nodes a pointer stands on an end or on a cycle; there, the least passed from it on is the cycle's
-    own = first.select(F.col("node").alias("_n"), F.col("to").alias("_next"))
-    stands = at.select("node", F.col("to").alias("on")).join(own, F.col("on") == F.col("_n")).withColumn("cyclic", F.col("_next") != F.col("on")).drop("_n", "_next")
+    own = first.select(F.col("node").alias("_n"), (~F.col("end")).alias("cyclic"))
+    stands = at.select("node", F.col("to").alias("on")).join(own, F.col("on") == F.col("_n")).drop("_n")
     turn = at.select(F.col("node").alias("_m"), F.col("least").alias("_least"))
     return stands.join(turn, F.col("on") == F.col("_m")).select("node", F.when(F.col("cyclic"), F.col("_least")).otherwise(F.col("on")).alias("terminal"), "cyclic")
 

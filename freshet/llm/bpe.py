@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from freshet.llm.common import library_threads_off, table
-from freshet.llm.segments import PartCache, TextEncoder, chunks, split_at
+from freshet.llm.segments import Kept, TextEncoder, slices, split_at
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 FIRST_CHAR = 0x100
@@ -90,7 +90,7 @@ class ByteBpe:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.ranks))
         self.pieces = {self.ranks[t]: unmapped(self.model.id_to_piece(i)) for i, t in enumerate(self.tokens)}
         self.find = regex.compile(pattern).findall
-        self.matched = PartCache(self._matches)
+        self.matched = Kept(self._matches, 300_000)
         self.encode = TextEncoder(self._parts)
 
     def _parts(self, parts: list[str]) -> list[bytes]:
@@ -136,8 +136,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
         bpe = encoder(path)
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1)
-            for a, b in chunks(all_texts := [t or "" for t in texts.to_pylist()]):
-                made = bpe.encode(all_texts[a:b])
+            for a, b in slices(texts):
+                made = bpe.encode(texts.slice(a, b - a))
                 cols = [doc_ids.slice(a, b - a), pa.array([len(x) // 4 for x in made], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in made]), pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in made])]
                 if keep_ids:
                     cols.append(pa.array([np.frombuffer(x, "<u4").astype("i4") for x in made], pa.list_(pa.int32())))

@@ -32,7 +32,7 @@ from pyspark.sql.window import Window
 
 from freshet.llm.common import library_threads_off, shared_dir, stored, table
 from freshet.llm.files import random_access, reading, writing
-from freshet.llm.segments import TextEncoder, chunks, split_at
+from freshet.llm.segments import TextEncoder, slices, split_at
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -115,8 +115,9 @@ class LibraryEncoder:
         made = self.tokenizer.encode_batch_fast(["".join(x) for x in joined], add_special_tokens=False)
         for group, encoding in zip(joined, made, strict=True):
             ids = np.array(encoding.ids, "<u4")
-            ends = split_at(self.sizes[ids], [len(p.encode()) for p in group]).tolist() if len(ids) else [0] * len(group)
-            out += [ids[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
+            ends = (4 * split_at(self.sizes[ids], [len(p) if p.isascii() else len(p.encode()) for p in group])).tolist() if len(ids) else [0] * len(group)
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         return out
 
 
@@ -159,9 +160,9 @@ def write_records(docs: DataFrame, folder: str, path: str | None = None, end_id:
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray]]:
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in chunks(texts):
-                for doc_id, ids in zip(doc_ids[a:b], encoder(path).encode(texts[a:b]), strict=True):
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for a, b in slices(texts):
+                for doc_id, ids in zip(doc_ids[a:b], encoder(path).encode(texts.slice(a, b - a)), strict=True):
                     yield doc_id, np.frombuffer(ids + end, "<u4")
 
     arrow = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("data", pa.string()), ("index", pa.string()), ("n_records", pa.int64()), ("n_ids", pa.int64())])

@@ -101,3 +101,29 @@ def center_crosswalk(cells: DataFrame, polygons: DataFrame, size: float, unit: s
 
 def total_bounds(polygons: DataFrame, *keys: str) -> DataFrame:
     return polygons.groupBy(*keys).agg(F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"))
+
+
+def in_box(polygons: DataFrame, west: float, south: float, east: float, north: float, margin: float = 0.0) -> DataFrame:
+    """Rows whose bounds touch a box with a margin on each side."""
+    return polygons.where((F.col("xmax") >= west - margin) & (F.col("xmin") <= east + margin) & (F.col("ymax") >= south - margin) & (F.col("ymin") <= north + margin))
+
+
+def measured(polygons: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """Adds area, cx and cy: area and centroid of each polygon, in the units of its coordinates."""
+    schema, at = polygons.schema, polygons.columns.index(geometry)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    ship(polygons.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shapes = batch.column(at).to_pylist()
+            areas = [None if g is None else wkb.area(g) for g in shapes]
+            centres = [(None, None) if not a else wkb.centroid(g) for a, g in zip(areas, shapes, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(areas, pa.float64()), *(pa.array([c[k] for c in centres], pa.float64()) for k in (0, 1))], names=[*batch.schema.names, "area", "cx", "cy"])
+
+    return polygons.mapInArrow(run, f"{fields}, area double, cx double, cy double")
+
+
+def invalid(polygons: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """Rows without a usable area: missing or degenerate geometries, to be counted and rejected at ingest."""
+    return measured(polygons, geometry).where("coalesce(area, 0) <= 0").drop("area", "cx", "cy")

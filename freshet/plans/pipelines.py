@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freshet.functions import ids, physics, times
-from freshet.operators import cubes, events, graph, hydro, relational, timeseries, weights
+from freshet.operators import cubes, events, graph, hydro, relational, spatial, timeseries, weights
 
 FORCING = ("APCP_surface", "DSWRF_surface", "TMP_2maboveground", "DLWRF_surface", "PRES_surface", "SPFH_2maboveground", "UGRD_10maboveground", "VGRD_10maboveground")
 SUMS = ("APCP_surface",)
@@ -126,6 +126,13 @@ def flood_table(raw: DataFrame, gauges: DataFrame, options: Floods = Floods()) -
     return hydro.event_table(big, "STAID").join(gauges.select("STAID", "LAT_GAGE", "LNG_GAGE"), "STAID", "left")
 
 
+def gauges_within(gauges: DataFrame, units: DataFrame, code: str, size: float = 0.5) -> DataFrame:
+    """Gauges (STAID, LAT_GAGE, LNG_GAGE) inside one hydrologic unit (HUC8, geometry), ids cleaned, each once."""
+    unit = spatial.with_bounds(units.where(F.col("HUC8") == code).select("HUC8", "geometry"))
+    inside = spatial.points_within(gauges.withColumn("STAID", ids.site(F.col("STAID"))), unit, size, "LNG_GAGE", "LAT_GAGE")
+    return inside.groupBy("STAID").agg(F.min("LAT_GAGE").alias("LAT_GAGE"), F.min("LNG_GAGE").alias("LNG_GAGE"))
+
+
 # ---- discharge
 
 

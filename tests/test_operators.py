@@ -303,6 +303,18 @@ def test_overlaps(spark):
     assert sorted(one(spatial.points_near(points, polygons, "r", 0.7), "p", "distance")) == [(1, 0.0), (3, 0.5)]
 
 
+def test_measures_and_boxes(spark):
+    shapes = spark.createDataFrame([("a", SQUARE), ("flat", wkb.polygon([(0, 0), (1, 1), (2, 2)])), ("none", None)], "id string, geometry binary")
+    got = {r.id: (r.area, r.cx, r.cy) for r in spatial.measured(shapes).collect()}
+    assert got["a"] == pytest.approx((2, 1, 0.5)) and got["none"] == (None, None, None)
+    assert sorted(one(spatial.invalid(shapes), "id")) == [("flat",), ("none",)]
+    own = spatial.with_bounds(shapes)
+    assert spatial.in_box(own, 2.5, 0, 3, 1).count() == 0 and spatial.in_box(own, 2.5, 0, 3, 1, margin=0.6).count() == 1
+    gauges = spark.createDataFrame([("123.0", 0.5, 1.0), ("123", 0.5, 1.0), ("9", 5.0, 5.0)], "STAID string, LAT_GAGE double, LNG_GAGE double")
+    units = spark.createDataFrame([("0302", SQUARE), ("0303", None)], "HUC8 string, geometry binary")
+    assert one(pipelines.gauges_within(gauges, units, "0302"), "STAID") == [("00000123",)]
+
+
 # ---- events and cubes
 
 

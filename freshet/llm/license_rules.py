@@ -63,9 +63,9 @@ RULES: list[tuple[int, str, str, str]] = [
     *_tag("lgpl-3.0", "lgpl 3 0"),
     *_tag("agpl-3.0", "agpl 3 0"),
     *_family("gpl-2.0", "general public", rf"gnu general public {_LIC}(?: as published by the free software foundation)?(?: either)?{_V} 2(?: 0)?(?: only)?", rf"general public {_LIC}{_V} 2(?: 0)?"),
-    *_family("gpl-2.0-or-later", "general public", rf"gnu general public {_LIC}(?: as published by the free software foundation)?(?: either)?{_V} 2(?: 0)?(?: of the license)? or at your option any later version", rf"general public {_LIC}{_V} 2(?: 0)? or (?:any )?later", priority=3),
+    *_family("gpl-2.0-or-later", "general public", rf"gnu general public {_LIC}(?: as published by the free software foundation)?(?: either)?{_V} 2(?: 0)?(?: of the license)? or at your option any later version", rf"(?:gnu )?general public {_LIC}{_V} 2(?: 0)? or (?:any )?later", priority=3),
     *_family("gpl-3.0", "general public", rf"gnu general public {_LIC}(?: as published by the free software foundation)?(?: either)?{_V} 3(?: 0)?(?: only)?", rf"general public {_LIC}{_V} 3(?: 0)?"),
-    *_family("gpl-3.0-or-later", "general public", rf"gnu general public {_LIC}(?: as published by the free software foundation)?(?: either)?{_V} 3(?: 0)?(?: of the license)? or at your option any later version", rf"general public {_LIC}{_V} 3(?: 0)? or (?:any )?later", priority=3),
+    *_family("gpl-3.0-or-later", "general public", rf"gnu general public {_LIC}(?: as published by the free software foundation)?(?: either)?{_V} 3(?: 0)?(?: of the license)? or at your option any later version", rf"(?:gnu )?general public {_LIC}{_V} 3(?: 0)? or (?:any )?later", priority=3),
     *_family("gpl-2.0", "gpl", r"gnu gpl(?: version| v)? ?2(?: 0)?", r"gpl(?: version| v)? 2(?: 0)?", r"gplv2"),
     *_family("gpl-2.0-or-later", "gpl", r"gpl 2(?: 0)? or later", r"gplv2 or later"),
     *_family("gpl-3.0", "gpl", r"gnu gpl(?: version| v)? ?3(?: 0)?", r"gpl(?: version| v)? 3(?: 0)?", r"gplv3"),

@@ -67,7 +67,7 @@ def test_nulls_and_repeats(spark, tmp_path):
 
 def test_small_files(spark, tmp_path):
     frame = spark.createDataFrame([(k, "u", f"{k} " * 400) for k in range(30)], "page_id long, url string, html string").coalesce(1)
-    arcs = wa.write_arcs(frame, str(tmp_path), file_bytes=2000).collect()
+    arcs = wa.write_arcs(frame, str(tmp_path), file_bytes=800).collect()
     assert len(arcs) > 3 and sum(r.n_records for r in arcs) == 30
     index = wa.index_arcs(spark.createDataFrame(arcs), 2).collect()
     assert sorted(r.page_id for r in index) == list(range(30))

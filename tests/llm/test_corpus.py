@@ -40,7 +40,7 @@ def test_shards_with_hot_groups(spark):
     rows = [(k, "hot") for k in range(500)] + [(500 + k, f"own {k}") for k in range(1000)]
     got = check_shards(spark, rows, 24)
     by = Counter(r.shard for r in got if r.doc_id < 500)
-    assert sorted(by.values())[-5] == 62  # a shard is filled in each round that looks for room
+    assert sorted(by.values())[-4] == 62  # a shard is filled in each round that looks for room
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(None, None)] * 30, [(k, f"{k // 3}") for k in range(301)], [(7, "x")] * 50])

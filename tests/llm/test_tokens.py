@@ -64,7 +64,7 @@ def test_op6(spark, folder, docs, nothing, tmp_path):
     written = records.write_records(docs, str(tmp_path / "small"), file_bytes=2000)
     listed = written.collect()
     assert len(listed) > 4 and sum(r.n_records for r in listed) == docs.count()
-    doc_id, offset, n = records.read_index(listed[0].index)[-1]
+    doc_id, offset, n = records.read_index(listed[0]["index"])[-1]
     again = records.read_at(listed[0].data, offset)
     assert (again[0] or 0, len(again[1])) == (doc_id, n)
     assert records.write_records(nothing, str(tmp_path / "none")).count() == 0

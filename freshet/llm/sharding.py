@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 
 from freshet.llm.common import stored, table
 
-SHARDS, ROUNDS = 24, 6
+SHARDS, ROUNDS = 24, 8
 #: Rows that are numbered together, about, and bins at least.
 BIN_ROWS, LEAST_BINS = 20_000, 256
 SIZE_CLASSES, HASH_CLASSES = 64, 16
@@ -55,11 +55,14 @@ def first_labels(groups: DataFrame, shards: int) -> DataFrame:
 
 
 def _grants(asked: list[list[int]], room: list[int]) -> list[int]:
-    """Moves allowed from each shard to each other one: what both ask of each other is swapped, the rest shares the target's room."""
+    """Moves allowed from each shard to each other one: what both ask of each other is swapped, the rest takes the target's room, shard by shard."""
     n = range(len(room))
-    swap = [[min(asked[a][b], asked[b][a]) for b in n] for a in n]
-    rest = [sum(asked[a][b] - swap[a][b] for a in n) for b in n]
-    return [swap[a][b] + (min(room[b], rest[b]) * (asked[a][b] - swap[a][b]) // rest[b] if rest[b] else 0) for a in n for b in n]
+    grants, left = [[min(asked[a][b], asked[b][a]) for b in n] for a in n], list(room)
+    for a in n:
+        for b in n:
+            more = min(left[b], asked[a][b] - grants[a][b])
+            grants[a][b], left[b] = grants[a][b] + more, left[b] - more
+    return [g for row in grants for g in row]
 
 
 def propagate(spark: SparkSession, labels: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> DataFrame:

@@ -31,3 +31,17 @@ def test_no_pair_of_all_rows(spark):
     for name in ("jn12_or_to_union", "jn14_event_window", "ag09_propagate", "dm10_merge_by_time", "jn16_points_within"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_scans_are_pruned(spark):
+    """Filters and columns reach the Parquet scan."""
+    plan = QUERIES["fl08_compound"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(p_size,10)" in plan and "p_retailprice" in plan
+    narrow = QUERIES["ag05_minmax"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<user_id:bigint,value:double>" in narrow
+
+
+def test_means_stay_in_the_engine(spark):
+    for name in ("wn14_bin_mean_15min", "ag11_renormalize", "dm10_merge_by_time", "sp03_albers", "dm01_pet", "jn15_window_peak"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan

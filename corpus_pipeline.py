@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm import bpe, content_sort, decontaminate, language_id, minhash
-from freshet.llm.common import id_residue, ship, stored, table
+from freshet.llm.common import id_residue, ship, small_or_not, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,6 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     found = stored(spark, minhash.near_duplicates(spark, docs), "near-duplicates")
     gone = found.where("NOT kept").select("doc_id").join(found.where("kept").select("doc_id"), "doc_id", "left_anti").distinct()
+    gone = small_or_not(stored(spark, gone, "near-duplicates-gone"), minhash.SMALL_ROWS)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import LOWER, UPPER, small_or_not, stored, table
+from freshet.llm.common import LOWER, UPPER, small_or_not, stored, table, tidy
 from freshet.llm.shingles import OnePermutation, set_id, shingle_set
 
 #: Links need 100 * intersection >= PERCENT * union.
@@ -44,9 +44,8 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = OnePermutation(bands, rows)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), 2000):
-                sets = [shingle_set(t) for t in texts[a : a + 2000]]
+            for a in range(0, len(batch), 500):
+                sets = [shingle_set(t) for t in batch.column(1).slice(a, 500).to_pylist()]
                 cols = [
                     batch.column(0).slice(a, len(sets)),
                     pa.array([len(s) for s in sets], pa.int64()),
@@ -56,7 +55,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "set_id", "keys"])
 
     rows_in = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return rows_in.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, keys array<long>")
+    return rows_in.mapInArrow(tidy(run), "doc_id long, n_shingles long, set_id binary, keys array<long>")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -64,15 +63,14 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, wanted = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a in range(0, len(texts), 1000):
-                made = [(w, s) for t, w in zip(texts[a : a + 1000], wanted[a : a + 1000], strict=True) if set_id(s := shingle_set(t)) == w]
+            for a in range(0, len(batch), 500):
+                made = [(w, s) for t, w in zip(*(c.slice(a, 500).to_pylist() for c in batch.columns), strict=True) if set_id(s := shingle_set(t)) == w]
                 cols = [pa.array([w for w, _ in made], pa.binary()), pa.array([s.view(np.int64) for _, s in made], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(cols, names=["set_id", "shingles"])
 
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     wanted = nodes.withColumnRenamed("set_id", "wanted")
-    return own.join(wanted, F.col("doc_id").eqNullSafe(F.col("least"))).select("text", "wanted").mapInArrow(run, "set_id binary, shingles array<long>").dropDuplicates(["set_id"])
+    return own.join(wanted, F.col("doc_id").eqNullSafe(F.col("least"))).select("text", "wanted").mapInArrow(tidy(run), "set_id binary, shingles array<long>").dropDuplicates(["set_id"])
 
 
 def buckets(spark: SparkSession, keyed: DataFrame, name: str) -> DataFrame:
@@ -161,7 +159,7 @@ def _second_stars(spark: SparkSession, some: DataFrame, sets: DataFrame, roots:
                 cols = [pa.array(ids[a : a + 500], pa.binary()), pa.array([len(s) for s in found], pa.int64()), pa.array([hashing.band_keys(s).view(np.int64) for s in found], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(cols, names=["set_id", "n", "keys"])
 
-    fine = buckets(spark, some.select("set_id", "shingles").mapInArrow(run, "set_id binary, n long, keys array<long>"), "fine")
+    fine = buckets(spark, some.select("set_id", "shingles").mapInArrow(tidy(run), "set_id binary, n long, keys array<long>"), "fine")
     rows = stored(spark, _apart(spark, fine, roots, "fine-apart"), "fine-rows")
     pairs = _across(rows, "low", percent).unionByName(_across(rows, "high", percent)).distinct()
     return confirmed(pairs, sets, percent)

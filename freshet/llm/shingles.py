@@ -10,22 +10,9 @@ import xxhash
 from freshet.llm.common import LOWER_BYTES
 
 WORDS = 5
-#: Words whose hash a worker keeps.
-KNOWN_WORDS = 500_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = WordHashes()
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads every bit of 64-bit numbers over all bits."""
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -36,7 +23,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def shingle_set(text: str | None) -> np.ndarray:
     """The sorted distinct shingles of five words; of fewer words the whole sequence; none without words."""
     words = (text or "").encode().translate(LOWER_BYTES).split()
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     if len(h) < WORDS:
         return mix((h * _MULTIPLIERS[: len(h)]).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(h))) if len(h) else h
     n = len(h) - WORDS + 1

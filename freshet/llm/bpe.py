@@ -22,10 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm.common import library_threads_off, table
+from freshet.llm.common import library_threads_off, table, tidy
 from freshet.llm.segments import Kept, TextEncoder, slices, split_at
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Cached parts of texts and pre-tokens of a worker: some 60 MB, as workers outlive this operator in a pipeline.
+PARTS, MATCHES = 150_000, 100_000
+#: Text bytes that are encoded at a time.
+SLICE_BYTES = 3 << 20
 FIRST_CHAR = 0x100
 SEPARATOR = "\u2028"
 _TO_CHARS = {b: FIRST_CHAR + b for b in range(256)}
@@ -90,8 +94,8 @@ class ByteBpe:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.ranks))
         self.pieces = {self.ranks[t]: unmapped(self.model.id_to_piece(i)) for i, t in enumerate(self.tokens)}
         self.find = regex.compile(pattern).findall
-        self.matched = Kept(self._matches, 300_000)
-        self.encode = TextEncoder(self._parts)
+        self.matched = Kept(self._matches, MATCHES)
+        self.encode = TextEncoder(self._parts, PARTS)
 
     def _parts(self, parts: list[str]) -> list[bytes]:
         """Ids of parts that may be joined (see TextEncoder)."""
@@ -136,7 +140,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
         bpe = encoder(path)
         for batch in batches:
             doc_ids, texts = batch.column(0), batch.column(1)
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE_BYTES):
                 made = bpe.encode(texts.slice(a, b - a))
                 cols = [doc_ids.slice(a, b - a), pa.array([len(x) // 4 for x in made], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in made]), pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in made])]
                 if keep_ids:
@@ -145,7 +149,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, keep_ids: bool =
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
     names = [c.split()[0] for c in schema.split(", ")]
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(tidy(run), schema)
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

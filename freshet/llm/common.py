@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +17,15 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
+#: Rows that go to Python at once, where the session has Spark's own 10,000: whole texts make large batches.
+BATCH_ROWS = 2_000
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers on this machine import the package from where the driver has it (clusters: --py-files)."""
+    """Lets Python workers on this machine import the package from where the driver has it (clusters: --py-files),
+    and keeps batches of whole texts small."""
+    if spark.conf.get(rows := "spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in paths.split(os.pathsep):
@@ -49,6 +59,25 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers live on after a task and share their machine with others."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(f: Callable) -> Callable:
+    """A batch function that gives memory back when its task's batches are done."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        give_back()
+
+    return run
+
+
 def small_or_not(table_: DataFrame, rows: int) -> DataFrame:
     """A written table, to be broadcast if its row count is within the bound; else joins shuffle it."""
     return F.broadcast(table_) if table_.count() <= rows else table_

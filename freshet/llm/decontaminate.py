@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import table
+from freshet.llm.common import table, tidy
 from freshet.llm.licenses import words
 from freshet.llm.shingles import mix
 
@@ -219,7 +219,7 @@ def find_leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> Da
                 cols = list(zip(*got, strict=True)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if k == 5 else pa.int64()) for k, c in enumerate(cols)], names=["doc_id", "item_id", "first_word", "n_words", "distance", "similarity"])
 
-        out = out.unionByName(rows.mapInArrow(run, schema))
+        out = out.unionByName(rows.mapInArrow(tidy(run), schema))
     return out
 
 
@@ -233,7 +233,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -
             for batch in batches:
                 yield batch.filter(pa.array([not shipped.value.leaks(t) for t in batch.column(at).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidy(run), docs.schema)
     return docs
 
 

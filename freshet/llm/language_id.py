@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import LOWER_BYTES, id_residue, table
+from freshet.llm.common import LOWER_BYTES, id_residue, table, tidy
 
 #: Training rows of each language, and of all together.
 PER_LANGUAGE, IN_ALL = 800, 8000
@@ -128,7 +128,7 @@ def train(docs: DataFrame, label: str = "lang") -> Decoder | None:
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.string()), pa.array([v for _, v in kept], pa.binary())], names=["lang", "x"])
 
     # the limit only binds when many rows share one doc_id
-    got = sample.select(F.col(label).cast("string").alias("lang"), F.col("text").cast("string")).mapInArrow(run, "lang string, x binary").limit(int(1.5 * most * len(counts)) + 200).collect()
+    got = sample.select(F.col(label).cast("string").alias("lang"), F.col("text").cast("string")).mapInArrow(tidy(run), "lang string, x binary").limit(int(1.5 * most * len(counts)) + 200).collect()
     got = sorted((r[0], bytes(r[1])) for r in got)
     return fit(np.stack([np.frombuffer(x, np.float32) for _, x in got]), [k for k, _ in got]) if got else None
 
@@ -154,7 +154,7 @@ def predict(spark: SparkSession, docs: DataFrame, decoder: Decoder | None) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.float64()), pa.array(cols[2], pa.bool_())], names=["doc_id", "lang_pred", "score", "ambiguous"])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
+    return rows.mapInArrow(tidy(run), "doc_id long, lang_pred string, score double, ambiguous boolean")
 
 
 def accepted(spark: SparkSession, docs: DataFrame, decoder: Decoder | None) -> DataFrame:
@@ -165,7 +165,7 @@ def accepted(spark: SparkSession, docs: DataFrame, decoder: Decoder | None) -> D
         for batch in batches:
             yield batch.filter(pa.array([p[0] != UNKNOWN for p in predictions(shipped.value, batch.column(at).to_pylist())], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from freshet.llm.common import table
+from freshet.llm.common import table, tidy
 from freshet.llm.license_rules import BASE, RULES
 
 _WORD_BYTES = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
@@ -96,7 +96,7 @@ def detections(docs: DataFrame) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["doc_id", "label", "priority", "rule", "first_word", "last_word"])
 
-    return _read(docs).mapInArrow(run, "doc_id long, label string, priority int, rule int, first_word long, last_word long")
+    return _read(docs).mapInArrow(tidy(run), "doc_id long, label string, priority int, rule int, first_word long, last_word long")
 
 
 def summaries(docs: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def summaries(docs: DataFrame) -> DataFrame:
             i, s = pa.int64(), pa.string()
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (i, i, i, i, i, s, s, pa.float64()), strict=True)], names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
 
-    return _read(docs).mapInArrow(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return _read(docs).mapInArrow(tidy(run), "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
 
 
 def _read(docs: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from freshet.llm.common import library_threads_off, shared_dir, stored, table
+from freshet.llm.common import library_threads_off, shared_dir, stored, table, tidy
 from freshet.llm.files import random_access, reading, writing
 from freshet.llm.segments import TextEncoder, slices, split_at
 
@@ -169,7 +169,7 @@ def write_records(docs: DataFrame, folder: str, path: str | None = None, end_id:
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     # the second key deals rows of one doc_id to more than one partition
     ordered = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    return ordered.select("doc_id", "text").mapInArrow(run, "part int, seq int, data string, index string, n_records long, n_ids long")
+    return ordered.select("doc_id", "text").mapInArrow(tidy(run), "part int, seq int, data string, index string, n_records long, n_ids long")
 
 
 def read_records(spark: SparkSession, files: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def read_records(spark: SparkSession, files: DataFrame) -> DataFrame:
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("data", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))
     tasks = max(1, min(10_000, files.count()))
-    return starts.repartition(tasks).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return starts.repartition(tasks).mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op6_records(spark: SparkSession, sf_dir: str) -> DataFrame:

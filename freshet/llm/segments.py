@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 
 #: A space between two non-blanks.
 CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Entries in a worker's cache before it starts afresh, about 350 MB.
-CACHE_ENTRIES = 1_600_000
+#: Entries in a worker's cache before it starts afresh, about 180 MB.
+CACHE_ENTRIES = 800_000
 #: Parts longer than this are not kept, so that the cache stays within its bound.
 CACHE_CHARS = 48
 
@@ -77,9 +77,9 @@ class TextEncoder:
     begins with a space or line feed before a non-blank and ends in a non-blank.
     """
 
-    def __init__(self, encode: Encode):
-        self.parts = Kept(lambda keys: encode([with_blank(k) for k in keys]))
-        self.odd = Kept(lambda keys: [x for k in keys for x in encode([k])], CACHE_ENTRIES // 10)
+    def __init__(self, encode: Encode, most: int = CACHE_ENTRIES):
+        self.parts = Kept(lambda keys: encode([with_blank(k) for k in keys]), most)
+        self.odd = Kept(lambda keys: [x for k in keys for x in encode([k])], most // 10)
         self.encode = encode
 
     def __call__(self, texts: pa.Array | list[str]) -> list[bytes]:

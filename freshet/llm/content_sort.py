@@ -1,11 +1,12 @@
 """Exact deduplication by sorting whole contents.
 
-Spark samples splitters and range-partitions (normalised text, doc_id, tie) and sorts each partition externally,
-so that equal texts lie next to each other; since doc_id and tie are part of the key, a group of copies of any
-size spreads over as many partitions as its bytes need. One pass over a sorted partition compares whole
-neighbouring texts. Groups that lie inside a partition are settled there. The first and last group of a partition
-may go on in the next one: for these each partition adds one summary row (digest, count, row that stays), at most
-two a partition, and the summaries of one text are merged.
+Spark samples splitters and range-partitions by (first characters and 64-bit hash of the normalised text, doc_id, tie); each
+partition is sorted externally by first characters, hash, whole text, doc_id and tie, so that equal texts lie next to each
+other. As doc_id and tie are part of the key, a group of copies of any size spreads over as many partitions as its bytes
+need; as whole texts are not, the splitters' sample is small however long the texts are. One pass over a sorted partition
+compares whole neighbouring texts. Groups that lie inside a partition are settled there. Those with the hash of the
+partition's first or last row may go on in a neighbour: for each of them the partition adds one summary row (digest, count, row that
+stays), in general two a partition, and the summaries of one text are merged.
 
 Defined results: null text counts as empty, so nulls and empty texts form one group; a null doc_id is smaller
 than any other; of rows with equal text and equal doc_id one stays; an empty table gives no rows; extra columns are
@@ -21,25 +22,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import LOWER, UPPER, lower_ascii, stored, table
+from freshet.llm.common import LOWER, UPPER, lower_ascii, small_or_not, stored, table, tidy
 
+#: Characters of a text that its splitters see.
+HEAD = 16
 #: Up to so many summary rows (about 100 bytes each) are broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 200_000
+#: The same for tables of ids and digests.
+SMALL_ROWS = 500_000
 
 _ROWS = "doc_id long, tie long, text_sha256 string, keep_id long, keep_tie long, group_size long, edge boolean, summary boolean"
 _ARROW = pa.schema([(c.split()[0], {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}[c.split()[1]]) for c in _ROWS.split(", ")])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], size: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted partition -> rows with their group's result, or with ``edge`` where others may add to it."""
+    """Rows (doc_id, tie, hash, text) of a sorted partition -> rows with their group's result, or with ``edge`` where
+    neighbouring partitions may add to it."""
     out: list[tuple] = []
-    text, digest, ids, ties, count, last, first = None, "", [], [], 0, (None, None), True
+    groups: list[tuple[str, list, list]] = []  # of the current hash: digest, ids, ties
+    text = mark = None
+    first = True
 
     def close(edge: bool) -> None:
-        """Ends the group. The first group's rows have gone out already; it gets its summary only."""
-        out.extend((i, t, digest, None if edge else last[0], None if edge else last[1], None if edge else count, edge, False) for i, t in zip(ids, ties, strict=True))
-        if edge:
-            out.append((None, None, digest, last[0], last[1], count, True, True))
+        """Ends the current hash's groups."""
+        for digest, ids, ties in groups:
+            n = len(ids)
+            kept = (None, None, None) if edge else (ids[-1], ties[-1], n)
+            out.extend((i, t, digest, *kept, edge, False) for i, t in zip(ids, ties, strict=True))
+            if edge:
+                out.append((None, None, digest, ids[-1], ties[-1], n, True, True))
+        groups.clear()
 
     def full() -> pa.RecordBatch:
         columns = zip(*out, strict=True) if out else [[]] * len(_ARROW)
@@ -48,31 +60,27 @@ def _runs(batches: Iterator[pa.RecordBatch], size: int = 20_000) -> Iterator[pa.
         return batch
 
     for batch in batches:
-        for doc_id, tie, new in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for doc_id, tie, own, new in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if text != new:
-                if text is not None:
+                if text is not None and own != mark:
                     close(edge=first)
                     first = False
-                first = first and text is None
-                text, digest, ids, ties, count = new, hashlib.sha256(new.encode()).hexdigest(), [], [], 0
-            count, last = count + 1, (doc_id, tie)
-            if first:
-                out.append((doc_id, tie, digest, None, None, None, True, False))
-            else:
-                ids.append(doc_id)
-                ties.append(tie)
+                text, mark = new, own
+                groups.append((hashlib.sha256(new.encode()).hexdigest(), [], []))
+            groups[-1][1].append(doc_id)
+            groups[-1][2].append(tie)
             if len(out) >= size:
                 yield full()
-    if text is not None:
-        close(edge=True)
+    close(edge=True)
     yield full()
 
 
 def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256, tie: the largest doc_id of each text stays."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("tie"), lower_ascii(F.coalesce(docs["text"].cast("string"), F.lit(""))).alias("norm"))
-    ordered = rows.repartitionByRange("norm", "doc_id", "tie").sortWithinPartitions("norm", "doc_id", "tie")
-    found = stored(spark, ordered.mapInArrow(_runs, _ROWS), "content-sort")
+    rows = rows.withColumn("head", F.substring("norm", 1, HEAD)).withColumn("mark", F.xxhash64("norm"))
+    ordered = rows.repartitionByRange("head", "mark", "doc_id", "tie").sortWithinPartitions("head", "mark", "norm", "doc_id", "tie")
+    found = stored(spark, ordered.select("doc_id", "tie", "mark", "norm").mapInArrow(tidy(_runs), _ROWS), "content-sort")
     sums = found.where("summary").groupBy("text_sha256").agg(F.sum("group_size").alias("all_size"), F.max(F.struct("keep_id", "keep_tie")).alias("stays"))
     sums = stored(spark, sums, "content-sort-edges")
     if sums.count() <= BROADCAST_ROWS:
@@ -86,48 +94,19 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return inner.unionByName(outer)
 
 
-def _last_of_runs(batches: Iterator[pa.RecordBatch], norm: int) -> Iterator[pa.RecordBatch]:
-    """The last row of each group in a sorted partition, without its normalised text, with its digest and whether the
-    group is the partition's first or last one."""
-
-    def out(rows: pa.RecordBatch, digests: list[str], edge: bool) -> pa.RecordBatch:
-        names = [n for i, n in enumerate(rows.schema.names) if i != norm]
-        return pa.RecordBatch.from_arrays([rows.column(n) for n in names] + [pa.array(digests, pa.string()), pa.array([edge] * len(digests), pa.bool_())], names=[*names, "_digest", "_edge"])
-
-    def digest(text: str) -> str:
-        return hashlib.sha256(text.encode()).hexdigest()
-
-    held, held_text, first = None, None, True
-    for batch in batches:
-        texts = batch.column(norm).to_pylist()
-        if not texts:
-            continue
-        if held is not None and texts[0] != held_text:
-            yield out(held, [digest(held_text)], first)
-            first = False
-        ends = [i for i in range(len(texts) - 1) if texts[i] != texts[i + 1]]
-        if ends and first:
-            yield out(batch.slice(ends[0], 1), [digest(texts[ends[0]])], True)
-            ends, first = ends[1:], False
-        if ends:
-            yield out(batch.take(pa.array(ends)), [digest(texts[i]) for i in ends], False)
-        held, held_text = batch.slice(len(texts) - 1, 1), texts[-1]
-    if held is not None:
-        yield out(held, [digest(held_text)], True)
-
-
 def exact_kept(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns: of equal texts that with the largest doc_id."""
-    norm = lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    ids = [F.col("doc_id"), F.col("_tie")]
-    ordered = docs.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(norm, *ids).withColumn("_norm", norm).sortWithinPartitions("_norm", *ids)
-    at = ordered.columns.index("_norm")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema if f.name != "_norm")
-    found = stored(spark, ordered.mapInArrow(lambda batches: _last_of_runs(batches, at), f"{fields}, _digest string, _edge boolean"), "content-sort-kept")
-    edges = stored(spark, found.where("_edge").groupBy("_digest").agg(F.max(F.struct("doc_id", "_tie")).alias("best")).select(F.col("best._tie").alias("_tie")), "content-sort-edges")
-    if edges.count() <= BROADCAST_ROWS:  # at most two for each partition
-        edges = F.broadcast(edges)
-    return found.where("NOT _edge").unionByName(found.where("_edge").join(edges, "_tie", "left_semi").select(*found.columns)).drop("_tie", "_digest", "_edge")
+    """The rows that stay, with all their columns. Only ids and digests are sorted out; texts are read again and stay where they are."""
+    found = stored(spark, exact_groups(spark, docs).select("doc_id", "keep_id", "text_sha256"), "content-sort-rows")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    gone = stored(spark, found.where(~stays).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_of")).distinct(), "content-sort-gone")
+    twice = stored(spark, found.where(stays).groupBy("text_sha256").count().where("count > 1").select(F.col("text_sha256").alias("__digest")), "content-sort-twice")
+    own = docs.withColumn("__digest", F.sha2(lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256))
+    left = own.join(small_or_not(gone, SMALL_ROWS), (F.col("__digest") == F.col("_of")) & own["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    if twice.limit(1).count():  # rows that share both text and doc_id: one of them stays
+        twice = small_or_not(twice, SMALL_ROWS)
+        one = left.join(twice, "__digest", "left_semi").dropDuplicates(["__digest"])
+        left = left.join(twice, "__digest", "left_anti").unionByName(one)
+    return left.select(*docs.columns)
 
 
 def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,8 +19,8 @@ import pyarrow.compute as pc
 
 #: A space between two non-blanks.
 CUT = re.compile(r"(?<=\S) (?=\S)")
-#: Entries in a worker's cache before it starts afresh, about 180 MB.
-CACHE_ENTRIES = 800_000
+#: Entries in a worker's cache before it starts afresh, about 280 MB.
+CACHE_ENTRIES = 1_300_000
 #: Parts longer than this are not kept, so that the cache stays within its bound.
 CACHE_CHARS = 48
 

@@ -120,3 +120,27 @@ def test_stages_return_the_columns_of_documents(spark, folder):
 def test_registry():
     names = set(queries())
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and set(oracle_sql()) <= names
+
+
+def test_lm_vocabulary_grows_with_training(spark):
+    """Each of several hundred words follows a word of its own; a model that knows few of them can't tell."""
+    n = 600
+    rows = [(k, " ".join(f"a{(7 * k + i) % n} b{(7 * k + i) % n}" for i in range(200))) for k in range(200)]
+    wrong = [(10_000 + k, " ".join(f"a{(7 * k + i) % n} b{(7 * k + i * 3 + 300) % n}" for i in range(200))) for k in range(0, 200, 10)]
+    wrong = [(i, t) for i, t in wrong if zlib.crc32(str(i).encode()) % 7 == 2]
+    frame = spark.createDataFrame(rows + wrong, "doc_id long, text string").coalesce(1)
+    own = frame.withColumn("residue", lm_score.id_residue(frame["doc_id"], lm_score.MODULUS))
+    counts = lm_score._counts(own, 3)
+    assert len(lm_score.corpus_of(own, counts, 3).symbols) == 2 * n
+    got = lm_score.score(spark, frame).collect()
+    right, other = [r.score for r in got if r.held_out and r.doc_id < 10_000], [r.score for r in got if r.doc_id >= 10_000]
+    assert other and min(right) > max(other)
+
+
+def test_classes_are_normalised():
+    words = log_bilinear.Vocabulary(np.sort(np.random.default_rng(1).integers(1, 1000, 300))[::-1])
+    trainer = log_bilinear.Trainer(words)
+    x, y = np.random.default_rng(2).integers(0, 300, (2, 5000))
+    trainer.feed(x, y, (x + y) % 300)
+    p = np.exp(trainer.weights.log_probabilities(words, np.full(300, 5), np.full(300, 300), np.arange(300)))
+    assert math.isclose(p.sum(), 1, rel_tol=1e-4) and (p > 0).all()

@@ -7,6 +7,9 @@
 4. A bucket whose nodes are still in more than one component may hide a link between two nodes that are not the hub. Its
    nodes are banded once more by a far more selective signature, which deals them to small buckets; there the stars are
    drawn again, around the least and around the greatest node, between nodes of different components only.
+5. Where buckets of step 2 still hold several components, all their pairs of different components are compared exactly. Nodes that
+   are joined by such buckets form a clan, which is dealt into blocks of about ``BLOCK_SHINGLES``; each two blocks are compared by
+   matrix products. This takes time by the square of a clan, in the worst case, but as many tasks as there are pairs of blocks.
 
 With 36 bands of 8 rows two sets with the resemblance 0.85 miss each other with a probability of 1e-5, less if they are closer.
 
@@ -34,6 +37,8 @@ from freshet.llm.shingles import OnePermutation, set_id, shingle_set
 PERCENT = 85
 BANDS, ROWS = 36, 8
 FINE_BANDS, FINE_ROWS = 128, 16
+#: Shingles of a block of nodes, about, and shingles that are multiplied at once.
+BLOCK_SHINGLES, COLUMNS = 400_000, 4096
 #: Tables of keys or ids (up to about 100 bytes a row) are broadcast up to so many rows; beyond, joins shuffle.
 SMALL_ROWS = 500_000
 
@@ -139,6 +144,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = PERCENT
     if apart.limit(1).count():
         links = stored(spark, links.unionByName(_second_stars(spark, sets.join(apart, "set_id"), sets, roots, percent)), "all-links")
         roots = components(spark, links)
+        links = stored(spark, links.unionByName(_remaining(spark, rows, sets, roots, percent)), "exact-links")
+        roots = components(spark, links)
     named = roots.join(nodes.select(F.col("set_id").alias("node"), "least"), "node")
     named = stored(spark, named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("node").alias("set_id"), "component_id"), "named")
     copies = nodes.where("copies > 1").join(named, "set_id", "left_anti").select("set_id", F.col("least").alias("component_id"))
@@ -165,6 +172,74 @@ def _second_stars(spark: SparkSession, some: DataFrame, sets: DataFrame, roots:
     return confirmed(pairs, sets, percent)
 
 
+def _remaining(spark: SparkSession, rows: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """All links between different components that share a bucket."""
+    apart = stored(spark, _apart(spark, rows, roots, "left-apart"), "left-rows")
+    joined = apart.where("node.set_id != low.set_id").select(F.col("low.set_id").alias("a"), F.col("node.set_id").alias("b")).distinct()
+    clans = components(spark, joined).withColumnRenamed("root", "clan")
+    own = apart.groupBy(F.col("node.set_id").alias("node")).agg(F.first("root").alias("root"), F.first("node.n").alias("n"), F.collect_set("key").alias("keys"))  # a key a band
+    own = stored(spark, own.join(clans, "node"), "clans")
+    sizes = own.groupBy("clan").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    sizes = stored(spark, sizes, "clan-sizes")
+    dealt = own.join(sizes, "clan").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # each block goes to all pairs that it is part of
+    twice = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j")))
+    sent = dealt.join(sets.withColumnRenamed("set_id", "node"), "node").select("clan", F.explode(twice).alias("pair"), "block", "node", "root", "keys", "shingles")
+    sent = sent.select("clan", "pair.i", "pair.j", "block", "node", "root", "keys", "shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def done() -> pa.RecordBatch:
+            found = between([x[1:] for x in held if x[0] == at[1]], [x[1:] for x in held if x[0] == at[2]], percent)
+            return pa.RecordBatch.from_arrays([pa.array([min(x) for x in found], pa.binary()), pa.array([max(x) for x in found], pa.binary())], names=["a", "b"])
+
+        for batch in batches:
+            clan, i, j, block, node, root, keys = (batch.column(k).to_pylist() for k in range(7))
+            for k in range(len(batch)):
+                if at != (clan[k], i[k], j[k]):
+                    if at is not None:
+                        yield done()
+                    at, held = (clan[k], i[k], j[k]), []
+                held.append((block[k], node[k], root[k], keys[k], batch.column(7)[k].values.to_numpy().copy()))
+        if at is not None:
+            yield done()
+
+    return sent.repartition("clan", "i", "j").sortWithinPartitions("clan", "i", "j").mapInArrow(tidy(run), "a binary, b binary").distinct()
+
+
+def between(left: list[tuple], right: list[tuple], percent: int) -> list[tuple[bytes, bytes]]:
+    """The similar enough pairs of different roots that share a key, from two lists of (node, root, keys, shingles)."""
+    of_key: dict[int, set[bytes]] = {}
+    for _, root, keys, _ in [*left, *right]:
+        for k in keys:
+            of_key.setdefault(k, set()).add(root)
+    left, right = ([x for x in side if any(len(of_key[k]) > 1 for k in x[2])] for side in (left, right))
+    if not left or not right:
+        return []
+    shared = np.intersect1d(np.concatenate([x[3] for x in left]), np.concatenate([x[3] for x in right]))
+    number = {r: k for k, r in enumerate({x[1] for x in [*left, *right]})}
+    total, entries = np.zeros((len(left), len(right)), np.float32), []
+    for side in (left, right):
+        row, value = np.repeat(np.arange(len(side)), [len(x[3]) for x in side]), np.concatenate([x[3] for x in side])
+        place = np.minimum(np.searchsorted(shared, value), max(0, len(shared) - 1))
+        known = shared[place] == value if len(shared) else np.zeros(len(value), bool)
+        order = np.argsort(place[known], kind="stable")
+        entries.append((row[known][order], place[known][order]))
+    for a in range(0, len(shared), COLUMNS):
+        dense = []
+        for side, (row, place) in zip((left, right), entries, strict=True):
+            low, high = np.searchsorted(place, [a, a + COLUMNS])
+            m = np.zeros((len(side), min(COLUMNS, len(shared) - a)), np.float32)
+            m[row[low:high], place[low:high] - a] = 1
+            dense.append(m)
+        total += dense[0] @ dense[1].T
+    n, m = (np.array([len(x[3]) for x in side], np.float32) for side in (left, right))
+    apart = np.array([number[x[1]] for x in left])[:, None] != np.array([number[x[1]] for x in right])
+    close = (total * 100 >= (n[:, None] + m - total) * percent) & apart & (total > 0)
+    return [(left[i][0], right[j][0]) for i, j in zip(*(x.tolist() for x in np.nonzero(close)), strict=True)]
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents"))
 

@@ -84,6 +84,23 @@ def test_near_groups_of_families(spark):
     assert 6 < len(set(want.values())) < len(want)
 
 
+def test_pairs_in_a_large_loose_family(spark, monkeypatch):
+    """All of the family are below the threshold but for pairs, which are rarely hubs of a bucket; few finer bands show them."""
+    rng, base, rows = np.random.default_rng(4), prose(900, 404).split(" "), {}
+    for twin in range(200):
+        both = rng.integers(5, 399, 2)
+        for _ in range(2):
+            words = list(base)
+            for k in [*both, *rng.integers(5, 399, 3)]:
+                words[k] = f"s{twin}" if k in both else f"x{rng.integers(10**9)}"
+            rows[len(rows)] = " ".join(words)
+    monkeypatch.setattr(minhash, "FINE_BANDS", 4)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 100_000, raising=False)
+    want = brute(rows)
+    assert 100 < len(set(want.values())) < len(want)
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(spark, spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()} == want
+
+
 def test_signatures_estimate_resemblance():
     op = OnePermutation(64, 8)
     a, b = shingle_set(prose(5, 400)), shingle_set(edited(prose(5, 400), 0.03, 1))

@@ -45,3 +45,12 @@ def test_means_stay_in_the_engine(spark):
     for name in ("wn14_bin_mean_15min", "ag11_renormalize", "dm10_merge_by_time", "sp03_albers", "dm01_pet", "jn15_window_peak"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_tiny_overlaps_of_all_cells(spark):
+    got = {row.divide_id: row.total for row in QUERIES["fl19_tiny_overlap"](spark, SF).collect()}
+    want: dict = {}
+    for row in domain_queries.crosswalk(spark, SF).select("divide_id", "fraction").collect():
+        if row.fraction > 0.01:
+            want[row.divide_id] = want.get(row.divide_id, 0) + float(row.fraction)
+    assert got.keys() == want.keys() and all(abs(float(got[k]) - v) < 1e-3 for k, v in want.items())

@@ -6,6 +6,7 @@ import ctypes
 import os
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -56,7 +57,25 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors."""
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+#: Where stored tables are, as long as their frames are in use.
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def discarded(spark: SparkSession, *tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more: all that was made from them is stored too."""
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_PATHS.pop(t))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def few_files(df: DataFrame, rows: int, rows_a_file: int = 1_000_000) -> DataFrame:
+    """A table of at most so many short rows, to be written as few files."""
+    return df.coalesce(max(4, rows // rows_a_file))
 
 
 def give_back() -> None:
@@ -78,9 +97,26 @@ def tidy(f: Callable) -> Callable:
     return run
 
 
-def small_or_not(table_: DataFrame, rows: int) -> DataFrame:
-    """A written table, to be broadcast if its row count is within the bound; else joins shuffle it."""
-    return F.broadcast(table_) if table_.count() <= rows else table_
+#: Tables up to so many bytes in memory are broadcast.
+SMALL_BYTES = 48 << 20
+
+
+def small_or_not(table_: DataFrame, row_bytes: int) -> DataFrame:
+    """A written table, to be broadcast if its rows take no more than ``SMALL_BYTES``; else joins shuffle it."""
+    return F.broadcast(table_) if table_.count() * row_bytes <= SMALL_BYTES else table_
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of the table has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def place_of(df: DataFrame, name: str) -> int:
+    """Number of a column, whose name may be written in another case."""
+    return next(k for k, c in enumerate(df.columns) if c.lower() == name.lower())
 
 
 def lower_ascii(col: Column) -> Column:

@@ -1,16 +1,18 @@
 """Exact deduplication by sorting whole contents.
 
-Spark samples splitters and range-partitions by (first characters and 64-bit hash of the normalised text, doc_id, tie); each
+Spark samples splitters and range-partitions by (first ``HEAD`` characters and 64-bit hash of the normalised text, doc_id, tie); each
 partition is sorted externally by first characters, hash, whole text, doc_id and tie, so that equal texts lie next to each
 other. As doc_id and tie are part of the key, a group of copies of any size spreads over as many partitions as its bytes
-need; as whole texts are not, the splitters' sample is small however long the texts are. One pass over a sorted partition
+need. Whole texts are not: Spark keeps about 100 splitter rows a partition in the driver, so whole texts would make it grow with their length
+(of 30 GB in texts of 2 kB, some 600 MB; a few texts of many MB are enough to end it). Among texts that begin alike the hash
+decides the order, so that no common beginning gathers in one partition; equality is always that of whole texts. One pass over a sorted partition
 compares whole neighbouring texts. Groups that lie inside a partition are settled there. Those with the hash of the
 partition's first or last row may go on in a neighbour: for each of them the partition adds one summary row (digest, count, row that
 stays), in general two a partition, and the summaries of one text are merged.
 
 Defined results: null text counts as empty, so nulls and empty texts form one group; a null doc_id is smaller
-than any other; of rows with equal text and equal doc_id one stays; an empty table gives no rows; extra columns are
-ignored; texts are compared whole, whatever their length.
+than any other; of rows with equal text and equal doc_id one stays (``exact_kept`` says which); an empty table gives no rows; extra columns are
+ignored, whatever their names; texts are compared whole, whatever their length.
 """
 
 from __future__ import annotations
@@ -22,14 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import LOWER, UPPER, lower_ascii, small_or_not, stored, table, tidy
+from freshet.llm.common import LOWER, UPPER, free_name, lower_ascii, small_or_not, stored, table, tidy
 
 #: Characters of a text that its splitters see.
-HEAD = 16
-#: Up to so many summary rows (about 100 bytes each) are broadcast; beyond, the join shuffles.
-BROADCAST_ROWS = 200_000
-#: The same for tables of ids and digests.
-SMALL_ROWS = 500_000
+HEAD = 64
+#: Bytes that a row of digest and ids takes once it is broadcast, about.
+ROW_BYTES = 240
 
 _ROWS = "doc_id long, tie long, text_sha256 string, keep_id long, keep_tie long, group_size long, edge boolean, summary boolean"
 _ARROW = pa.schema([(c.split()[0], {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}[c.split()[1]]) for c in _ROWS.split(", ")])
@@ -83,8 +83,7 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found = stored(spark, ordered.select("doc_id", "tie", "mark", "norm").mapInArrow(tidy(_runs), _ROWS), "content-sort")
     sums = found.where("summary").groupBy("text_sha256").agg(F.sum("group_size").alias("all_size"), F.max(F.struct("keep_id", "keep_tie")).alias("stays"))
     sums = stored(spark, sums, "content-sort-edges")
-    if sums.count() <= BROADCAST_ROWS:
-        sums = F.broadcast(sums)
+    sums = small_or_not(sums, ROW_BYTES)
     inner = found.where("NOT edge").select("doc_id", "keep_id", "group_size", (F.col("tie") == F.col("keep_tie")).alias("kept"), "text_sha256", "tie")
     outer = (
         found.where("edge AND NOT summary")
@@ -95,18 +94,22 @@ def exact_groups(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def exact_kept(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns. Only ids and digests are sorted out; texts are read again and stay where they are."""
+    """The rows that stay, with all their columns. Only ids and digests are sorted out; texts are read again and stay where they are.
+
+    Of rows that share both text and doc_id, that with the least hash of all its columns stays.
+    """
+    digest, id_, of = (free_name(docs, c) for c in ("digest", "id", "of"))
     found = stored(spark, exact_groups(spark, docs).select("doc_id", "keep_id", "text_sha256"), "content-sort-rows")
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    gone = stored(spark, found.where(~stays).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_of")).distinct(), "content-sort-gone")
-    twice = stored(spark, found.where(stays).groupBy("text_sha256").count().where("count > 1").select(F.col("text_sha256").alias("__digest")), "content-sort-twice")
-    own = docs.withColumn("__digest", F.sha2(lower_ascii(F.coalesce(F.col("text").cast("string"), F.lit(""))), 256))
-    left = own.join(small_or_not(gone, SMALL_ROWS), (F.col("__digest") == F.col("_of")) & own["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
-    if twice.limit(1).count():  # rows that share both text and doc_id: one of them stays
-        twice = small_or_not(twice, SMALL_ROWS)
-        one = left.join(twice, "__digest", "left_semi").dropDuplicates(["__digest"])
-        left = left.join(twice, "__digest", "left_anti").unionByName(one)
-    return left.select(*docs.columns)
+    gone = stored(spark, found.where(~stays).select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(of)).distinct(), "content-sort-gone")
+    twice = stored(spark, found.where(stays).groupBy("text_sha256").count().where("count > 1").select(F.col("text_sha256").alias(digest)), "content-sort-twice")
+    own = docs.withColumn(digest, F.sha2(lower_ascii(F.coalesce(docs["text"].cast("string"), F.lit(""))), 256))
+    left = own.join(small_or_not(gone, ROW_BYTES), (F.col(digest) == F.col(of)) & own["doc_id"].cast("long").eqNullSafe(F.col(id_)), "left_anti")
+    if twice.limit(1).count():
+        twice, whole = small_or_not(twice, ROW_BYTES), F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+        one = left.join(twice, digest, "left_semi").groupBy(digest).agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias(of)).select(digest, f"{of}.*")
+        left = left.join(twice, digest, "left_anti").select(digest, *(F.col(f"`{c}`") for c in docs.columns)).unionByName(one)
+    return left.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op8_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,10 +11,14 @@
    are joined by such buckets form a clan, which is dealt into blocks of about ``BLOCK_SHINGLES``; each two blocks are compared by
    matrix products. This takes time by the square of a clan, in the worst case, but as many tasks as there are pairs of blocks.
 
-With 36 bands of 8 rows two sets with the resemblance 0.85 miss each other with a probability of 1e-5, less if they are closer.
+With 36 bands of 8 rows two sets with the resemblance 0.85 miss each other with a probability of 1e-5 where bins are independent, less if they
+are closer; at 0.80, 48 bands of 7 rows give the same. Bins of sets with fewer shingles than bins are filled from others and not quite
+independent: 2 of 9,000 such pairs with about 47 shingles and a resemblance near 0.85 were missed.
+Words and shingles are told apart by 64-bit hashes throughout, also where full sets are compared.
 
 Skew: exact copies meet in a partial aggregation; joins on buckets, hubs and sets read written tables, so that
-adaptive execution can split large keys. No bucket, hub or component is collected anywhere.
+adaptive execution can split large keys (a hub's candidates, too). No bucket, hub or component is collected anywhere. Tables are
+broadcast only where their bytes, counted first, are within a bound.
 
 Defined results: null text, empty text and text of blanks have no shingles, are linked with nothing and are kept; rows
 with equal doc_id are rows of their own; a null doc_id never names a component unless all its members have none; a row is kept
@@ -36,15 +40,23 @@ from freshet.llm.shingles import OnePermutation, set_id, shingle_set
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
 BANDS, ROWS = 36, 8
+#: Percentage, bands and rows of the general rule for near duplicates.
+LOOSE = (80, 48, 7)
 FINE_BANDS, FINE_ROWS = 128, 16
 #: Shingles of a block of nodes, about, and shingles that are multiplied at once.
 BLOCK_SHINGLES, COLUMNS = 400_000, 4096
-#: Tables of keys or ids (up to about 100 bytes a row) are broadcast up to so many rows; beyond, joins shuffle.
-SMALL_ROWS = 500_000
+#: Bytes that a row of a table takes once it is broadcast, about: its keys, the key of the hash table and what surrounds them.
+KEY_BYTES, HUB_BYTES, NODE_BYTES = 40, 160, 100
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a hash of the text, which tells texts apart that share a doc_id or have none."""
+    text = docs["text"].cast("string")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, n_shingles, set_id, keys: a 64-bit key a band; set_id and keys are null without shingles."""
+    """doc_id, mark, n_shingles, set_id, keys: a 64-bit key a band; set_id and keys are null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashing = OnePermutation(bands, rows)
@@ -53,18 +65,18 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                 sets = [shingle_set(t) for t in batch.column(1).slice(a, 500).to_pylist()]
                 cols = [
                     batch.column(0).slice(a, len(sets)),
+                    batch.column(2).slice(a, len(sets)),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_id(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([hashing.band_keys(s).view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "set_id", "keys"])
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "mark", "n_shingles", "set_id", "keys"])
 
-    rows_in = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return rows_in.mapInArrow(tidy(run), "doc_id long, n_shingles long, set_id binary, keys array<long>")
+    return _texts(docs).mapInArrow(tidy(run), "doc_id long, mark long, n_shingles long, set_id binary, keys array<long>")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """set_id, shingles of the nodes (set_id, least), from the documents whose doc_id is ``least``."""
+    """set_id, shingles of the nodes (set_id, least, least_mark), from documents with that doc_id and that text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,18 +85,19 @@ def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 cols = [pa.array([w for w, _ in made], pa.binary()), pa.array([s.view(np.int64) for _, s in made], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(cols, names=["set_id", "shingles"])
 
-    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     wanted = nodes.withColumnRenamed("set_id", "wanted")
-    return own.join(wanted, F.col("doc_id").eqNullSafe(F.col("least"))).select("text", "wanted").mapInArrow(tidy(run), "set_id binary, shingles array<long>").dropDuplicates(["set_id"])
+    # of rows without a doc_id, or with the same one, only those with the node's own text meet it
+    own = _texts(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("least")) & (F.col("mark") == F.col("least_mark")))
+    return own.select("text", "wanted").mapInArrow(tidy(run), "set_id binary, shingles array<long>").dropDuplicates(["set_id"])
 
 
 def buckets(spark: SparkSession, keyed: DataFrame, name: str) -> DataFrame:
     """Rows of buckets with two or more nodes: key, node, low and high (the least and the greatest node)."""
     shared = keyed.select(F.explode("keys").alias("key")).groupBy("key").count().where("count > 1").select("key")
-    shared = small_or_not(stored(spark, shared, f"{name}-keys"), SMALL_ROWS)
+    shared = small_or_not(stored(spark, shared, f"{name}-keys"), KEY_BYTES)
     rows = stored(spark, keyed.select(F.explode("keys").alias("key"), F.struct("set_id", "n").alias("node")).join(shared, "key"), f"{name}-rows")
     hubs = stored(spark, rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")), f"{name}-hubs")
-    return stored(spark, rows.join(small_or_not(hubs, SMALL_ROWS), "key"), name)
+    return stored(spark, rows.join(small_or_not(hubs, HUB_BYTES), "key"), name)
 
 
 def near_in_size(a: Column, b: Column, percent: int) -> Column:
@@ -131,13 +144,15 @@ def _across(rows: DataFrame, hub: str, percent: int) -> DataFrame:
     return star(rows.join(hubs, "key").where("root != hub_root"), hub, percent)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept."""
-    sketched = stored(spark, sketches(docs), "sketches")
-    nodes = stored(spark, sketched.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys")), "nodes")
+def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, band_rows: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept. The bands must suit the percentage: see ``BANDS`` and ``LOOSE``."""
+    sketched = stored(spark, sketches(docs, bands, band_rows), "sketches")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    nodes = sketched.where("n_shingles > 0").groupBy("set_id").agg(first, F.count("*").alias("copies"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
+    nodes = stored(spark, nodes.select("set_id", F.col("first.doc_id").alias("least"), F.col("first.mark").alias("least_mark"), "copies", "n", "keys"), "nodes")
     rows = buckets(spark, nodes, "buckets")
-    met = stored(spark, rows.select("node.set_id").distinct().join(nodes.select("set_id", "least"), "set_id"), "met")
-    sets = stored(spark, full_sets(docs, small_or_not(met, SMALL_ROWS)), "sets")
+    met = stored(spark, rows.select("node.set_id").distinct().join(nodes.select("set_id", "least", "least_mark"), "set_id"), "met")
+    sets = stored(spark, full_sets(docs, small_or_not(met, NODE_BYTES)), "sets")
     links = stored(spark, confirmed(star(rows, "low", percent), sets, percent), "links")
     roots = components(spark, links)
     apart = stored(spark, _apart(spark, rows, roots, "apart").select("node.set_id").distinct(), "apart-nodes")

@@ -108,3 +108,54 @@ def test_signatures_estimate_resemblance():
     assert abs((op.signature(a) == op.signature(b)).mean() - true) < 0.08
     small = shingle_set("one two three four five six")
     assert set(op.signature(small)) <= set(small) and len(op.band_keys(small)) == 64
+
+
+def test_kept_rows_keep_clashing_columns(spark):
+    rows = [(1, "A b", "x", 10, 0.5), (2, "a B", "y", 20, 0.25), (2, "a b", "z", 30, 0.1), (None, "own", None, 40, None), (None, "OWN", "v", 50, 1.0), (3, None, "u", 60, 2.0)]
+    frame = spark.createDataFrame(rows, "doc_id long, Text string, digest string, id int, _of double").withColumnRenamed("_of", "of").repartition(3)
+    for name in ("__digest", "_id"):
+        frame = frame.withColumn(name, frame["id"] * 2)
+    got = content_sort.exact_kept(spark, frame)
+    assert got.columns == frame.columns
+    kept = got.collect()
+    assert all(r._id == 2 * r.id and r["__digest"] == 2 * r.id for r in kept)
+    assert Counter((r.doc_id, (r.Text or "").lower()) for r in kept) == {(2, "a b"): 1, (None, "own"): 1, (3, ""): 1}
+    assert {tuple(r) for r in kept} == {tuple(r) for r in content_sort.exact_kept(spark, frame.coalesce(1)).collect()}
+
+
+def rows_for_sets(spark, n):
+    """Rows that meet a node in the pass over full sets, of n documents without an id."""
+    frame = spark.createDataFrame([(None, f"{prose(k // 2, 60)} {k % 2}") for k in range(n)], "doc_id long, text string")
+    sketched = minhash.sketches(frame)
+    nodes = sketched.selectExpr("set_id", "doc_id AS least", "mark AS least_mark").distinct()
+    joined = minhash._texts(frame).join(nodes, minhash.F.expr("doc_id <=> least AND mark = least_mark"))
+    assert minhash.full_sets(frame, nodes).count() == n
+    return joined.count(), {r.component_id for r in minhash.near_duplicates(spark, frame).collect()}
+
+
+def test_documents_without_ids_meet_only_their_own_text(spark):
+    assert [rows_for_sets(spark, n) for n in (100, 200)] == [(100, {None}), (200, {None})]
+
+
+def test_looser_threshold(spark):
+    texts = {k: edited(prose(40 + k // 4, 300), 0.02, k) for k in range(60)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want, strict = brute(texts, 80), brute(texts, 85)
+    assert len(set(want.values())) < len(set(strict.values()))
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(spark, frame, *minhash.LOOSE).collect()} == want
+
+
+def test_recall_of_links_of_every_hundredth_document(spark):
+    """Links of the documents whose id is divisible by 100, against all documents."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = {r.doc_id: shingle_set(r.text) for r in docs.collect()}
+    component = {r.doc_id: r.component_id for r in minhash.op5_near_duplicates(spark, "/root/testdata/sf0.01").collect()}
+    found = total = 0
+    for q, s in rows.items():
+        if q % 100 == 0 and len(s):
+            for i, t in rows.items():
+                if i != q and len(t) and 100 * min(len(s), len(t)) >= 85 * max(len(s), len(t)):
+                    both = len(np.intersect1d(s, t, assume_unique=True))
+                    if 100 * both >= 85 * (len(s) + len(t) - both):
+                        total, found = total + 1, found + (component[q] == component[i])
+    assert found >= 0.99 * total

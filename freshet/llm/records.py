@@ -12,19 +12,22 @@ Files are read as streams, record by record.
 
 Defined results: null text counts as empty, its record holds the end id only; null doc_ids come first; rows with
 equal doc_ids are all written, one after the other; an empty table gives no files and no rows; extra columns are
-ignored; a text that is longer than a file is meant to be becomes one record in one file.
+ignored; a text that is longer than a file is meant to be becomes one record in one file. The string of a special token within a text
+gets that token's id, as the library gives it.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,15 +102,25 @@ class LibraryEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         byte_of = {c: b for b, c in enumerate(_byte_chars())}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.special = "|".join(map(re.escape, sorted(special)))
         self.width = 2 if max(vocabulary.values()) < 1 << 16 else 4
         self.sizes = np.zeros(max(vocabulary.values()) + 1, "i8")
         for token, i in vocabulary.items():
             self.sizes[i] = len(token.encode()) if token in special or any(c not in byte_of for c in token) else len(token)
-        self.encode = TextEncoder(self._parts)
+        self.by_parts = TextEncoder(self._parts)
+
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        """Ids of whole texts. Texts that hold the string of an added token go to the library as they are, since such a string is a match of its own."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        marked = pc.match_substring_regex(texts, self.special).to_numpy(zero_copy_only=False) if self.special else np.zeros(len(texts), bool)
+        if not marked.any():
+            return self.by_parts(texts)
+        plain = iter(self.by_parts(texts.filter(pa.array(~marked))))
+        whole = (np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts.filter(pa.array(marked)).to_pylist())
+        return [next(whole) if m else next(plain) for m in marked.tolist()]
 
     def _parts(self, parts: list[str]) -> list[bytes]:
         out = []

@@ -33,12 +33,28 @@ def test_bpe_equals_the_rank_library(texts, plain):
         assert own.decode(ids) == text.encode()
 
 
-@settings(max_examples=300, deadline=None)
-@given(texts=st.lists(TEXT, max_size=6))
-def test_cached_library_encoder_equals_the_library(texts):
-    own = records.encoder()
-    for text, ids in zip(texts, own.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+@pytest.fixture(scope="module")
+def library():
+    """The library's own encoder, unaltered and not shared with the code under test."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(records.VOCABULARY))
+
+
+SPECIAL = st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "\n", "word", ".", "<|", "é"]), max_size=8).map("".join)
+
+
+@settings(max_examples=400, deadline=None)
+@given(texts=st.lists(st.one_of(TEXT, SPECIAL), max_size=6))
+def test_cached_library_encoder_equals_the_library(texts, library):
+    for text, ids in zip(texts, records.encoder().encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_special_strings_get_their_ids(library):
+    text = "hello <|endoftext|> there"
+    (ids,) = records.encoder().encode([text])
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids == [31373, 220, 50256, 612]
 
 
 def test_op4(spark, docs, nothing, plain):
@@ -50,9 +66,9 @@ def test_op4(spark, docs, nothing, plain):
     assert bpe.encode_documents(nothing).count() == 0
 
 
-def test_op6(spark, folder, docs, nothing, tmp_path):
+def test_op6(spark, folder, docs, nothing, tmp_path, library):
     got = sorted(records.op6_records(spark, folder).collect(), key=lambda r: r.start)
-    encode = records.encoder().tokenizer.encode
+    encode = library.encode
     assert [r.doc_id for r in got] == sorted((r.doc_id for r in got), key=lambda i: (i is not None, i))
     assert got[0].start == 0 and all(b.start == a.start + a.n_tokens for a, b in zip(got, got[1:], strict=False))
 

@@ -245,9 +245,11 @@ def revisits(spark: SparkSession, index: DataFrame, least_bytes: int = LEAST_BYT
     first = large.groupBy("payload_digest", "payload_bytes").agg(F.count("*").alias("n"), F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "archive", "number")).alias("first"))
     first = stored(spark, first.where("n > 1").select("payload_digest", F.col("first.page_id").alias("first_page"), F.col("first.archive").alias("first_archive"), F.col("first.number").alias("first_number")), "first-payloads")
     same = (F.col("archive") == F.col("first_archive")) & (F.col("number") == F.col("first_number"))
-    own = index.withColumn("key", F.when(F.col("payload_bytes") >= least_bytes, F.col("payload_digest")))
-    got = own.join(first.withColumnRenamed("payload_digest", "key"), "key", "left")
-    return got.select("archive", "number", *(F.when(~same, F.col(c)).alias(c) for c in ("first_page", "first_archive", "first_number")))
+    columns = ("first_page", "first_archive", "first_number")
+    got = large.join(first, "payload_digest", "left").select("archive", "number", *(F.when(~same, F.col(c)).alias(c) for c in columns))
+    # small payloads have no key and pass by the join
+    small = index.where(F.col("payload_bytes") < least_bytes).select("archive", "number", *(F.lit(None).cast(first.schema[c].dataType).alias(c) for c in columns))
+    return got.unionByName(small)
 
 
 def convert_arcs(decisions: DataFrame, folder: str, tasks: int) -> DataFrame:

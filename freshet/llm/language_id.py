@@ -6,8 +6,8 @@ form. A text's distance to a codeword is the squared hinge loss of the bits' mar
 than chance it does on the training rows; the nearest codeword wins, and a small gap to the second flags ambiguity.
 
 The classifiers are fitted on a bounded sample: at most ``PER_LANGUAGE`` training rows of each language
-(about, and ``IN_ALL`` in all), chosen by a
-hash of doc_id and taken whole. All other steps cover all rows.
+(about, and ``IN_ALL`` in all), chosen by a hash of doc_id and text and taken whole. Of more than ``MOST_LANGUAGES`` different
+labels the most frequent ones are learned. All other steps cover all rows.
 
 Defined results: null text and text without a letter get ``und`` and score 0, as does every text when there is no
 labelled training row; a null doc_id counts as not held out; equal texts get equal results; equal distances go to
@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.llm.common import LOWER_BYTES, id_residue, table, tidy
+from freshet.llm.common import LOWER_BYTES, id_residue, place_of, table, tidy
 
 #: Training rows of each language, and of all together.
 PER_LANGUAGE, IN_ALL = 800, 8000
-#: Languages that can be learned at most.
-MOST_LANGUAGES = 256
+#: Languages that are learned at most: the most frequent ones.
+MOST_LANGUAGES = 1024
 #: Hashed features: bytes, pairs and triples have a range each.
 PAIRS, TRIPLES = 768, 1024
 FEATURES = 256 + PAIRS + TRIPLES
@@ -73,7 +73,8 @@ def codewords(n: int) -> np.ndarray:
     rng, width, best, most = np.random.default_rng(7), math.ceil(10 * math.log2(n)), None, -1
     for _ in range(50):
         code = np.where(rng.permuted(np.tile(np.arange(n) % 2, (width, 1)), axis=1).T == 0, 1.0, -1.0)
-        least = min(int((code[i] != code[j]).sum()) for i, j in itertools.combinations(range(n), 2))
+        alike = code @ code.T - 2 * width * np.eye(n)
+        least = int((width - alike.max()) // 2)  # bits in which the closest two differ
         if least > most:
             best, most = code, least
     return best
@@ -111,24 +112,24 @@ def fit(x: np.ndarray, y: list[str]) -> Decoder:
 
 
 def train(docs: DataFrame, label: str = "lang") -> Decoder | None:
-    """Fits on a sample of the rows; None without labelled rows."""
-    rows = docs.where(F.col(label).isNotNull() & F.col("text").isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(MOST_LANGUAGES + 1).collect()}
+    """Fits on a sample of the rows; None without labelled rows. The same rows give the same model, however they are split."""
+    rows = docs.where(docs[label].isNotNull() & docs["text"].isNotNull()).select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), docs[label].cast("string").alias("lang"))
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
     if not counts:
         return None
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    most = min(PER_LANGUAGE, IN_ALL // len(counts))
-    share = F.element_at(F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min(1.0, most / n))) for k, n in counts.items())), F.col(label))
-    sample = rows.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1 << 20)) < share * (1 << 20))
+    most = max(1, min(PER_LANGUAGE, IN_ALL // len(counts)))
+    share = F.element_at(F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min(1.0, most / n))) for k, n in counts.items())), F.col("lang"))
+    # rows with equal ids are told apart by their text
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("language sample")), F.lit(1 << 20))
+    sample = rows.where(F.col("lang").isin(list(counts))).withColumn("drawn", drawn).where(F.col("drawn") < share * (1 << 20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [(lang, features(text).tobytes()) for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if has_letter(text)]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.string()), pa.array([v for _, v in kept], pa.binary())], names=["lang", "x"])
+            kept = [(lang, features(text).tobytes(), drawn) for lang, text, drawn in zip(*(c.to_pylist() for c in batch.columns), strict=True) if has_letter(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([k[j] for k in kept], t) for j, t in enumerate((pa.string(), pa.binary(), pa.int64()))], names=["lang", "x", "drawn"])
 
-    # the limit only binds when many rows share one doc_id
-    got = sample.select(F.col(label).cast("string").alias("lang"), F.col("text").cast("string")).mapInArrow(tidy(run), "lang string, x binary").limit(int(1.5 * most * len(counts)) + 200).collect()
+    # the limit only binds when very many rows share both doc_id and text; the order makes it the same rows each time
+    got = sample.select("lang", "text", "drawn").mapInArrow(tidy(run), "lang string, x binary, drawn long").orderBy("drawn", "lang", "x").limit(int(1.5 * most * len(counts)) + 200).collect()
     got = sorted((r[0], bytes(r[1])) for r in got)
     return fit(np.stack([np.frombuffer(x, np.float32) for _, x in got]), [k for k, _ in got]) if got else None
 
@@ -159,7 +160,7 @@ def predict(spark: SparkSession, docs: DataFrame, decoder: Decoder | None) -> Da
 
 def accepted(spark: SparkSession, docs: DataFrame, decoder: Decoder | None) -> DataFrame:
     """The rows that get a language, with all their columns as they are; ambiguous ones stay."""
-    at, shipped = docs.columns.index("text"), spark.sparkContext.broadcast(decoder)
+    at, shipped = place_of(docs, "text"), spark.sparkContext.broadcast(decoder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

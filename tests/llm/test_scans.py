@@ -153,5 +153,63 @@ def test_leaks_against_brute_force(spark, nothing):
     kept = {r.doc_id for r in decontaminate.decontaminated(spark, a, b).collect()}
     assert kept == {d for d, _ in docs} - {d for d, _ in got}
     assert decontaminate.find_leaks(spark, nothing, b).count() == decontaminate.find_leaks(spark, a, b.limit(0)).count() == 0
-    halves = [set(x.ids) for x in decontaminate.blocks(b, 300)]
+    halves = [set(x.ids) for x in decontaminate.blocks(spark, b, 20_000)]
     assert len(halves) > 2 and set().union(*halves) >= {i for i, t in items if t}
+    assert {(r.doc_id, r.item_id): r.distance for r in decontaminate.find_leaks(spark, a, b, 20_000).collect()} == got
+    assert {r.doc_id for r in decontaminate.decontaminated(spark, a, b, 20_000).collect()} == kept
+
+
+def test_long_items_are_found():
+    """A fifth of the words edited, in items of hundreds and thousands of words."""
+    rng = np.random.default_rng(3)
+    for m, tries in ((300, 30), (1000, 20), (4000, 4)):
+        item = [f"w{k}" for k in rng.integers(0, 3000, m)]
+        index, found = decontaminate.Index([(1, " ".join(item))]), 0
+        for _ in range(tries):
+            doc = list(item)
+            for k in sorted(rng.choice(m, m // 5, replace=False).tolist(), reverse=True):
+                doc[k : k + 1] = [[], [f"new{rng.integers(10**6)}"], [doc[k], f"new{rng.integers(10**6)}"]][rng.integers(3)]
+            found += bool(index.leaks(f"some words before {' '.join(doc)} and after"))
+        assert found == tries
+        assert not index.leaks(" ".join(item[: m * 3 // 4])) and not index.leaks(" ".join(item[::2]))
+
+
+def test_a_large_index_is_small_in_memory():
+    index = decontaminate.Index([(k, " ".join(f"w{k}x{j}" for j in range(20))) for k in range(2000)])
+    arrays = [x for t in (*index.found_at.values(), *index.tables.values()) for x in t if isinstance(x, np.ndarray)]
+    assert sum(x.nbytes for x in arrays if x.dtype != bool) < 2000 * (decontaminate.PART_BYTES + 20 * decontaminate.WORD_BYTES)
+    assert [x.item for x in index.leaks(" ".join(f"w77x{j}" for j in range(20)))] == [77]
+
+
+def test_leaks_of_odd_rows(spark):
+    item = prose(5, 30)
+    docs = spark.createDataFrame([(None, item, "a", 1), (None, "clean", "b", 2), (7, f"x {item} y", "c", 3), (7, item, "d", 4), (8, prose(6, 20_000) + " " + item, "e", 5), (9, None, "f", 6)], "doc_id long, Text string, digest string, _digest int")
+    bench = spark.createDataFrame([(1, item)] * 50 + [(None, item), (2, "")], "item_id long, text string")
+    got = [(r.doc_id, r.item_id) for r in decontaminate.find_leaks(spark, docs, bench, 60_000).collect()]
+    assert len(got) == 4 * 51 and {i for _, i in got} == {1, None} and {i for i, _ in got} == {None, 7, 8}
+    left = decontaminate.decontaminated(spark, docs, bench, 60_000)
+    assert left.columns == docs.columns and sorted(tuple(r) for r in left.collect() if r.doc_id) == [(9, None, "f", 6)]
+    assert [tuple(r) for r in left.collect() if r.doc_id is None] == [(None, "clean", "b", 2)]
+
+
+def test_decoding_is_the_nearest_codeword():
+    """The decoder against plain loops over codewords and bits."""
+    rng = np.random.default_rng(5)
+    x = np.abs(rng.normal(size=(200, 9))).astype(np.float32) + np.repeat(np.eye(9, dtype=np.float32), 25, axis=0)[rng.integers(0, 225, 200)]
+    model = language_id.fit(x, [f"l{k % 9}" for k in range(200)])
+    index, score, ambiguous = model(x)
+    for row, i, s, flag in zip(x, index, score, ambiguous, strict=True):
+        margins = [float(row @ model.weights[:-1, b] + model.weights[-1, b]) for b in range(model.code.shape[1])]
+        losses = [sum(float(t) * max(0.0, 1 - m * c) ** 2 for m, c, t in zip(margins, word, model.trust, strict=True)) for word in model.code]
+        near = sorted(losses)
+        assert abs(losses[i] - near[0]) < 1e-6 and abs(s - 1 / (1 + np.exp(-language_id.SHARPNESS * (near[1] - near[0])))) < 1e-4
+        assert flag == (near[1] - near[0] < language_id.AMBIGUOUS) or abs(near[1] - near[0] - language_id.AMBIGUOUS) < 1e-6
+
+
+def test_language_model_does_not_depend_on_partitions(spark, monkeypatch):
+    rows = [(k // 40, prose(k, 20), ["en", "de", "fr"][k % 3]) for k in range(240)] + [(1, "same text", "en")] * 60 + [(2, "a b", f"rare{k}") for k in range(5)]
+    monkeypatch.setattr(language_id, "PER_LANGUAGE", 30)
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 4)
+    frame = spark.createDataFrame(rows, "doc_id long, Text string, LANG string")
+    a, b = language_id.train(frame.repartition(5)), language_id.train(frame.coalesce(1))
+    assert a.languages == b.languages == ["de", "en", "fr", "rare0"] and np.allclose(a.weights, b.weights)

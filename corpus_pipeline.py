@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages, from raw documents to token digests.
 
 language ID (documents without a language go) -> exact dedup (of equal texts the largest doc_id stays) -> near-duplicate groups
-(the smallest doc_id of each stays) -> benchmark decontamination (documents that hold an item go) -> byte-level BPE.
+of a similarity of 0.8 or more (the smallest doc_id of each stays) -> benchmark decontamination (documents that hold an item go) -> byte-level BPE.
 
 Each stage works on all that its predecessor kept. Its table is written to the shared folder and read again.
 Empty tables, null texts and repeated rows have the results that the operators' modules define; where rows share a
@@ -31,9 +31,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = stored(spark, minhash.near_duplicates(spark, docs), "near-duplicates")
+    found = stored(spark, minhash.near_duplicates(spark, docs, *minhash.LOOSE), "near-duplicates")
     gone = found.where("NOT kept").select("doc_id").join(found.where("kept").select("doc_id"), "doc_id", "left_anti").distinct()
-    gone = small_or_not(stored(spark, gone, "near-duplicates-gone"), minhash.SMALL_ROWS)
+    gone = small_or_not(stored(spark, gone, "near-duplicates-gone"), minhash.KEY_BYTES)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -72,3 +72,12 @@ def time_or_null(c: Column, *formats: str) -> Column:
 
 def _name(c: str) -> str:
     return f"`{c}`"
+
+
+def valid_place(lon: Column, lat: Column) -> Column:
+    """Whether both coordinates are present and within their ranges."""
+    return F.coalesce(lon.between(-180.0, 180.0) & lat.between(-90.0, 90.0), F.lit(False))
+
+
+def gauge_tag(c: Column) -> Column:
+    return F.concat(F.lit("gage-"), c)

@@ -80,3 +80,18 @@ def albers(lon: Column, lat: Column) -> tuple[Column, Column]:
     rho = F.sqrt(F.lit(k["C"]) - _authalic(s, k["e"], F.log) * k["n"]) * (ALBERS["a"] / k["n"])
     theta = F.radians(lon - ALBERS["lon0"]) * k["n"]
     return rho * F.sin(theta), F.lit(k["rho0"]) - rho * F.cos(theta)
+
+
+def albers_inverse(x: Column, y: Column) -> tuple[Column, Column]:
+    """Metres to degrees: longitude and latitude, the latter by the published series from the authalic latitude (to about 1e-8 degrees)."""
+    k = albers_terms()
+    e, below = k["e"], F.lit(k["rho0"]) - y
+    rho = F.sqrt(x * x + below * below)
+    q = (F.lit(k["C"]) - F.pow(rho * (k["n"] / ALBERS["a"]), F.lit(2.0))) / F.lit(k["n"])
+    authalic = F.asin(q / F.lit(_authalic(1.0, e, math.log)))
+    # fixed values: the series' coefficients
+    series = ((2, e**2 / 3 + 31 * e**4 / 180 + 517 * e**6 / 5040), (4, 23 * e**4 / 360 + 251 * e**6 / 3780), (6, 761 * e**6 / 45360))
+    lat = authalic
+    for times, factor in series:
+        lat = lat + F.sin(authalic * float(times)) * factor
+    return F.degrees(F.atan2(x, below) / F.lit(k["n"])) + ALBERS["lon0"], F.degrees(lat)

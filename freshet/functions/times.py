@@ -75,3 +75,18 @@ def day(ts: Column) -> Column:
 
 def text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+
+def in_zone(ts: Column, zone: str) -> Column:
+    """The wall clock of a zone at a UTC time, without a zone."""
+    return F.from_utc_timestamp(ts, zone)
+
+
+def from_zone(wall: Column, zone: str) -> Column:
+    """The UTC time at which a zone's wall clock shows a time."""
+    return F.to_utc_timestamp(wall, zone)
+
+
+def text_with_offset(wall: Column, offset: str) -> Column:
+    """A wall clock's time as text with its offset from UTC."""
+    return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(offset))

@@ -33,13 +33,16 @@ def merged(a: DataFrame, b: DataFrame, a_values: Sequence[str], b_values: Sequen
     return a.join(right, on).join(both, event).where("step <= _end").select(event, "step", "ts", unit, *a_values, *b_values)
 
 
-def flow_grid(windows: DataFrame, flows: DataFrame, minutes: int = 60, event: str = "event_id", gauge: str = "gauge_id") -> DataFrame:
-    """Discharge on each event's regular times: equal stamps of a gauge are averaged, absent ones stay missing."""
+def flow_grid(windows: DataFrame, flows: DataFrame, minutes: int = 60, event: str = "event_id", gauge: str = "gauge_id", gauges: DataFrame | None = None) -> DataFrame:
+    """Discharge on each event's regular times: equal stamps of a gauge are averaged, absent ones stay missing.
+
+    ``gauges`` (event, gauge) restricts each event to its own gauges; without it the cube is dense, every event with every gauge.
+    """
     own = flows.groupBy("ts", gauge).agg(F.avg("discharge").alias("streamflow"))
     grid = windows.select(event, F.posexplode(times.grid(F.col("ts_start"), F.col("ts_end"), minutes)).alias("step", "ts"))
-    gauges = flows.select(gauge).distinct()
-    # each event's grid for every gauge: the size of the result
-    return grid.join(gauges, how="cross").join(own, ["ts", gauge], "left").select(event, F.col("step").cast("long").alias("step"), "ts", gauge, "streamflow")
+    if gauges is None:  # a dense cube: the size of the result
+        return grid.join(flows.select(gauge).distinct(), how="cross").join(own, ["ts", gauge], "left").select(event, F.col("step").cast("long").alias("step"), "ts", gauge, "streamflow")
+    return grid.join(gauges.select(event, gauge).distinct(), event).join(own, ["ts", gauge], "left").select(event, F.col("step").cast("long").alias("step"), "ts", gauge, "streamflow")
 
 
 def dense(rows: DataFrame, value: str, event: str = "event_id", unit: str = "divide_id") -> tuple[np.ndarray, list, list]:
@@ -52,6 +55,18 @@ def dense(rows: DataFrame, value: str, event: str = "event_id", unit: str = "div
     return out, events, units
 
 
+def nested(rows: DataFrame, values: Sequence[str], event: str = "event_id", unit: str = "divide_id") -> DataFrame:
+    """A cube's long rows as one row for each event and unit, with an array a variable in the order of steps: the transposed form.
+    Absent steps are null; arrays are as long as the event."""
+    ends = rows.groupBy(event).agg(F.max("step").alias("_last"))
+    held = rows.groupBy(event, unit).agg(*(F.map_from_entries(F.collect_list(F.struct("step", v))).alias(v) for v in values))
+
+    def ordered(v: str):
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.col("_last")), lambda k: F.try_element_at(F.col(v), k)).alias(v)
+
+    return held.join(ends, event).select(event, unit, *map(ordered, values))
+
+
 def over_units(rows: DataFrame, value: str, event: str = "event_id") -> DataFrame:
     """Mean and maximum over the catchments at each time."""
     return rows.groupBy(event, "ts").agg(F.avg(value).alias("mean"), F.max(value).alias("max"))

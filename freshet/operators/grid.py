@@ -49,6 +49,16 @@ class Grid:
         down = own.withColumn("row", F.explode(F.sequence("_r0", "_r1")))
         return down.withColumn("col", F.explode(F.sequence("_c0", "_c1"))).drop("_r0", "_r1", "_c0", "_c1")
 
+    def from_south(self, row: Column) -> Column:
+        """The row from the north of one that is counted from the south."""
+        return F.lit(self.rows - 1) - row
+
+    def remapped(self, index: DataFrame) -> DataFrame:
+        """Adds ``local_id``: each cell's number in the smallest box that holds all cells of the index, by rows."""
+        own = index.withColumns({"_row": self.row(F.col("cell_id")), "_col": self.column(F.col("cell_id"))})
+        box = own.agg(F.min("_row").alias("_r0"), F.min("_col").alias("_c0"), F.max("_col").alias("_c1"))  # one row
+        return own.crossJoin(F.broadcast(box)).withColumn("local_id", (F.col("_row") - F.col("_r0")) * (F.col("_c1") - F.col("_c0") + 1) + F.col("_col") - F.col("_c0")).drop("_row", "_col", "_r0", "_c0", "_c1")
+
     def neighbours(self, cells: DataFrame, pad: int) -> DataFrame:
         """Each cell and those up to ``pad`` rows and columns away, once."""
         steps = F.array(*(F.lit(k) for k in range(-pad, pad + 1)))

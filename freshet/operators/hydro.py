@@ -50,15 +50,25 @@ def event_metrics(inside: DataFrame, keys: Sequence[str], value: str, ts: str) -
         (F.coalesce(F.sum((F.col(value) + F.col("_q")) / 2 * seconds), F.lit(0.0)) / CUBIC_FEET_AN_ACRE_FOOT).alias("volume_acreft"),
         F.sum(F.abs(F.col(value) - F.col("_q"))).alias("_change"), F.sum(value).alias("_total"),
     )
-    flash = F.when((F.col("n") > 1) & (F.col("_total") > 0), F.col("_change") / F.col("_total"))
+    flash = F.when(F.col("_total") > 0, F.coalesce("_change", F.lit(0.0)) / F.col("_total"))
     peak_time = F.timestamp_micros(-F.col("_b.t"))
     return got.select(*keys, "start", "end", F.col("_b.v").alias("peak"), peak_time.alias("peak_time"), "volume_acreft", flash.alias("flashiness"), times.hours_between(F.col("start"), F.col("end")).alias("duration_hours"), times.hours_between(F.col("start"), peak_time).alias("time_to_peak_h"))
 
 
 def event_table(metrics: DataFrame, site: str) -> DataFrame:
-    """Calendar columns and an id 1.. by site and begin."""
-    own = metrics.withColumns({"YEAR": F.year("peak_time"), "month": F.month("peak_time"), "day": F.dayofmonth("peak_time"), "water_year": times.water_year(F.col("peak_time"))})
-    return own.withColumn("event_id", F.row_number().over(Window.orderBy(site, "start")).cast("long"))
+    """The event table's columns, one row an event (site, begin, end and ``event_metrics``), with calendar columns of
+    the begin and an id 1.. by site and begin."""
+    begin, end = F.col("begin"), F.col("end")
+    own = metrics.select(
+        site, begin.alias("BEGIN_DATE_TIME"), end.alias("END_DATE_TIME"), "peak_time", F.col("peak").alias("peak_flow_cfs"), "volume_acreft", F.col("flashiness").alias("flashiness_index"),
+        F.year(begin).alias("YEAR"), F.month(begin).alias("month"), F.dayofmonth(begin).alias("day"), times.water_year(begin).alias("water_year"),
+        times.hours_between(begin, end).alias("duration_hours"), times.hours_between(begin, F.col("peak_time")).alias("time_to_peak_h"),
+    )
+    # sites are numbered apart and moved on by the sites before them: only a row a site meets in one task
+    before = Window.orderBy(site).rowsBetween(Window.unboundedPreceding, -1)
+    sites = own.groupBy(site).agg(F.count("*").alias("_n")).select(site, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = own.withColumn("_k", F.row_number().over(Window.partitionBy(site).orderBy("BEGIN_DATE_TIME", "END_DATE_TIME")))
+    return numbered.join(sites, site).withColumn("event_id", F.col("_before") + F.col("_k")).drop("_before", "_k")
 
 
 @dataclass(frozen=True)
@@ -106,7 +116,8 @@ def rising_runs(ts: np.ndarray, q: np.ndarray, p: Detection) -> list[tuple[int,
 def detected(flows: DataFrame, key: str, value: str, ts: str, p: Detection = Detection()) -> DataFrame:
     """Events of each site: key, begin, end, peak. Series with gaps are filled both ways in a second try.
 
-    The smoothing is a recurrence over a site's whole series, hence one group a site; rows are the site's regular bins.
+    The smoothing is a recurrence over a site's whole series, hence one group a site; rows are the site's regular bins: 40 years of
+    quarter hours are 1.4 million rows, 34 MB. A site without events gives no rows.
     """
     given = asdict(p)
 
@@ -117,7 +128,8 @@ def detected(flows: DataFrame, key: str, value: str, ts: str, p: Detection = Det
         if not found and np.isnan(q).any() and not np.isnan(q).all():
             q = own.set_index("ts")["value"].interpolate("time").ffill().bfill().to_numpy(float)
             found = rising_runs(t, q, Detection(**given))
-        return pd.DataFrame({"key": [own["key"].iloc[0]] * len(found), "begin": [t[a] for a, _ in found], "end": [t[b] for _, b in found], "peak": [float(np.nanmax(q[a : b + 1])) for a, b in found]}, columns=["key", "begin", "end", "peak"])
+        begin, end = (np.array([t[e[k]] for e in found], "datetime64[ns]") for k in (0, 1))  # typed, also without events
+        return pd.DataFrame({"key": own["key"].iloc[:1].repeat(len(found)).reset_index(drop=True), "begin": begin, "end": end, "peak": np.array([np.nanmax(q[a : b + 1]) for a, b in found], float)})
 
     ship(flows.sparkSession)
     kind = flows.schema[key].dataType.simpleString()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -49,16 +49,28 @@ def _tested(pairs: DataFrame, columns: list[str], test: Callable[..., list[float
     return pairs.mapInArrow(run, f"{fields}, `{name}` double")
 
 
+def by_geometry(test: Callable[..., np.ndarray]) -> Callable[..., list[float]]:
+    """A test of one geometry and arrays of coordinates, for a batch of pairs: each geometry of the batch is parsed once."""
+
+    def run(geometries: list, *coordinates: list) -> list[float]:
+        of: dict[bytes, list[int]] = {}
+        for k, g in enumerate(geometries):
+            of.setdefault(g, []).append(k)
+        arrays, out = [np.array(c, float) for c in coordinates], np.empty(len(geometries))
+        for g, at in of.items():
+            out[at] = test(g, *(a[at] for a in arrays))
+        return out.tolist()
+
+    return run
+
+
 def points_within(points: DataFrame, polygons: DataFrame, size: float, x: str = "x", y: str = "y") -> DataFrame:
     """Points with the polygons (geometry and bounds) that hold them."""
     left = points.withColumn("_bx", F.floor(F.col(x) / size).cast("long")).withColumn("_by", F.floor(F.col(y) / size).cast("long"))
     right = bucketed(polygons, size, F.col("xmin"), F.col("ymin"), F.col("xmax"), F.col("ymax"))
     near = left.join(right, ["_bx", "_by"]).where(F.col(x).between(F.col("xmin"), F.col("xmax")) & F.col(y).between(F.col("ymin"), F.col("ymax")))
 
-    def inside(g: list, xs: list, ys: list) -> list[float]:
-        return [float(wkb.contains(a, np.array([b]), np.array([c]))[0]) for a, b, c in zip(g, xs, ys, strict=True)]
-
-    return _tested(near, ["geometry", x, y], inside, "_in").where("_in = 1").drop("_in", "_bx", "_by")
+    return _tested(near, ["geometry", x, y], by_geometry(lambda g, xs, ys: wkb.contains(g, xs, ys).astype(float)), "_in").where("_in = 1").drop("_in", "_bx", "_by")
 
 
 def points_near(points: DataFrame, polygons: DataFrame, radius: str, size: float, x: str = "x", y: str = "y") -> DataFrame:
@@ -70,7 +82,7 @@ def points_near(points: DataFrame, polygons: DataFrame, radius: str, size: float
     # a pair is tested in the first bucket that both touch
     first = (F.col("_bx") == F.floor(F.greatest(F.col(x) - r, F.col("xmin")) / size)) & (F.col("_by") == F.floor(F.greatest(F.col(y) - r, F.col("ymin")) / size))
     near = left.join(right, ["_bx", "_by"]).where(box & first)
-    tested = _tested(near, ["geometry", x, y], lambda g, xs, ys: [wkb.distance(a, b, c) for a, b, c in zip(g, xs, ys, strict=True)], "distance")
+    tested = _tested(near, ["geometry", x, y], by_geometry(wkb.distances), "distance")
     return tested.where(F.col("distance") <= r).drop("_bx", "_by")
 
 
@@ -124,6 +136,107 @@ def measured(polygons: DataFrame, geometry: str = "geometry") -> DataFrame:
     return polygons.mapInArrow(run, f"{fields}, area double, cx double, cy double")
 
 
+def _made(rows: DataFrame, columns: Sequence[str], shape: Callable[..., bytes]) -> DataFrame:
+    """Adds a geometry made from some columns; null where one of them is."""
+    ship(rows.sparkSession)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    places = [rows.columns.index(c) for c in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [None if None in p else shape(*p) for p in zip(*(batch.column(k).to_pylist() for k in places), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, pa.binary())], names=[*batch.schema.names, "geometry"])
+
+    return rows.mapInArrow(run, f"{fields}, geometry binary")
+
+
+def as_points(rows: DataFrame, x: str, y: str) -> DataFrame:
+    return _made(rows, [x, y], wkb.point)
+
+
+def as_boxes(rows: DataFrame, x: str, y: str, width: float, height: float) -> DataFrame:
+    """Rows with the box whose lower left corner they name."""
+    return _made(rows, [x, y], lambda a, b: wkb.polygon([(a, b), (a + width, b), (a + width, b + height), (a, b + height)]))
+
+
+def coordinates(points: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """Adds x and y of point geometries."""
+    ship(points.sparkSession)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
+    at = points.columns.index(geometry)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xy = [(None, None) if g is None else wkb.place(g) for g in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array([p[k] for p in xy], pa.float64()) for k in (0, 1))], names=[*batch.schema.names, "x", "y"])
+
+    return points.mapInArrow(run, f"{fields}, x double, y double")
+
+
+def with_margin(polygons: DataFrame, margin: float) -> DataFrame:
+    """Bounds moved out by a margin on each side."""
+    return polygons.withColumns({c: F.col(c) + (margin if c.endswith("max") else -margin) for c in ("xmin", "ymin", "xmax", "ymax")})
+
+
+def cells_inside(cells: DataFrame, polygons: DataFrame, size: float, slack: float = 1e-9) -> DataFrame:
+    """Cells that lie fully inside a polygon: those of which it covers all but rounding errors."""
+    return cell_overlaps(cells, polygons, size).where(F.col("fraction") >= 1 - slack)
+
+
 def invalid(polygons: DataFrame, geometry: str = "geometry") -> DataFrame:
     """Rows without a usable area: missing or degenerate geometries, to be counted and rejected at ingest."""
     return measured(polygons, geometry).where("coalesce(area, 0) <= 0").drop("area", "cx", "cy")
+
+
+def _mapped(rows: DataFrame, geometry: str, change: Callable[[bytes], bytes | None]) -> DataFrame:
+    """The table with each geometry changed."""
+    ship(rows.sparkSession)
+    at = rows.columns.index(geometry)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array([None if g is None else change(g) for g in batch.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([made if k == at else c for k, c in enumerate(batch.columns)], names=batch.schema.names)
+
+    return rows.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema))
+
+
+def repaired(polygons: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """Geometries made usable by stated rules (``wkb.repaired``); what can't be becomes null, for ``invalid`` to report."""
+    return _mapped(polygons, geometry, wkb.repaired)
+
+
+def buffered(points: DataFrame, radius: str, x: str = "x", y: str = "y", corners: int = 32) -> DataFrame:
+    """Points with a polygon around each (geometry), at each row's own radius; the joins use exact distances instead."""
+    return _made(points, [x, y, radius], lambda a, b, c: wkb.circle(a, b, c, corners))
+
+
+def dissolved(polygons: DataFrame, *keys: str, geometry: str = "geometry") -> DataFrame:
+    """One multipolygon a key: edges that two polygons of a key share vanish, the others are joined to rings.
+
+    Meant for coverages: polygons that meet in whole edges with equal corners, as grid cells and catchments do, and
+    don't overlap. Edges are cancelled by an aggregation, so a key's inner edges never meet in one task; its outline does.
+    """
+    ship(polygons.sparkSession)
+    own = polygons.where(F.col(geometry).isNotNull()).select(*keys, geometry)
+    kinds = ", ".join(f"`{k}` {polygons.schema[k].dataType.simpleString()}" for k in keys)
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [wkb.edges(g) for g in batch.column(len(keys)).to_pylist()]
+            row = np.repeat(np.arange(len(batch)), [len(f) for f in found])
+            all_ = np.concatenate(found) if found else np.empty((0, 4))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(row)) for k in range(len(keys))), *(pa.array(all_[:, k]) for k in range(4))], names=[*keys, "x0", "y0", "x1", "y1"])
+
+    def rings(key: tuple, frame: pa.Table) -> pa.Table:
+        line = np.column_stack([frame.column(c).to_numpy() for c in ("x0", "y0", "x1", "y1")])
+        return pa.table({**{n: pa.array([v.as_py()], frame.schema.field(n).type) for n, v in zip(keys, key, strict=True)}, geometry: pa.array([wkb.from_edges(line)], pa.binary())})
+
+    way = F.when((F.col("x0") < F.col("x1")) | ((F.col("x0") == F.col("x1")) & (F.col("y0") < F.col("y1"))), 1).otherwise(-1)
+    a, b = F.struct(F.col("x0").alias("x"), F.col("y0").alias("y")), F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))
+    lines = own.mapInArrow(edges, f"{kinds}, x0 double, y0 double, x1 double, y1 double").select(*keys, F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), way.alias("way"))
+    # neighbours run along a shared edge in opposite directions
+    left = lines.groupBy(*keys, "a", "b").agg(F.sum("way").alias("way")).where("way <> 0")
+    ends = [F.when(F.col("way") > 0, F.col(p)).otherwise(F.col(q)) for p, q in (("a", "b"), ("b", "a"))]
+    outline = left.select(*keys, *(e[c].alias(f"{c}{k}") for k, e in enumerate(ends) for c in ("x", "y")))
+    return outline.groupBy(*keys).applyInArrow(rings, f"{kinds}, `{geometry}` binary")

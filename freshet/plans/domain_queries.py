@@ -86,13 +86,6 @@ def dm12_clean_flows(spark, d):
     return pipelines.clean_flows(raw, 360).select(F.col("STAID").alias("user_id"), times.text(F.col("bin")).alias("bin"), "q")
 
 
-@query()
-def dm14_flood_table(spark, d):
-    raw = observations(spark, d).select(F.col("event_type").alias("STAID"), "ts", F.col("v").alias("q"), F.col("event_id").alias("ord"))
-    gauges = raw.select("STAID").distinct().withColumn("LAT_GAGE", F.lit(35.0)).withColumn("LNG_GAGE", F.lit(-78.0))
-    return pipelines.flood_table(raw, gauges, pipelines.Floods(minutes=60, detection=hydro.Detection(residual=20.0)))
-
-
 @query()
 def dm06_event_forcing(spark, d):
     own = observations(spark, d).groupBy(F.col("hr").alias("ts")).agg(F.avg("value").alias("x"))
@@ -131,12 +124,6 @@ def dm19_center_crosswalk(spark, d):
     return spatial.center_crosswalk(_cells(spark, d), _triangles(spark, d), 0.1)
 
 
-@query()
-def dm20_fractional_crosswalk(spark, d):
-    got = spatial.cell_overlaps(_cells(spark, d), _triangles(spark, d), 0.1, 1e-9)
-    return weights.normalised(got.select("divide_id", "cell_id", "fraction")).select("divide_id", "cell_id", r("fraction").alias("fraction"), r("weight").alias("weight"))
-
-
 @query(f"WITH {_BOX} SELECT count(*) AS n, round(min(xmin), 6) AS xmin, round(min(ymin), 6) AS ymin, round(max(xmin + 0.0713), 6) AS xmax, round(max(ymin + 0.0511), 6) AS ymax FROM b")
 def ag22_total_bounds(spark, d):
     own = _triangles(spark, d).withColumn("all", F.lit(1))
@@ -144,12 +131,6 @@ def ag22_total_bounds(spark, d):
     return spatial.total_bounds(own, "all").join(n, "all").select("n", *(r(c).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")))
 
 
-@query()
-def jn18_points_near(spark, d):
-    points = _boxes(spark, d).select(F.col("id").alias("storm"), (F.col("xmin") + 0.2).alias("x"), F.col("ymin").alias("y"), F.lit(0.15).alias("radius"))
-    return spatial.points_near(points, _triangles(spark, d), "radius", 0.1).select("storm", "divide_id", r("distance").alias("distance"))
-
-
 @query("WITH p AS (SELECT p_partkey, -130 + (p_partkey % 700) * CAST(0.0173 AS DOUBLE) AS lon, 42 - (p_partkey % 400) * CAST(0.0171 AS DOUBLE) AS lat FROM part), c AS (SELECT p_partkey, CAST(floor((42 - lat) / CAST(0.02 AS DOUBLE)) AS BIGINT) AS row, CAST(floor((lon + 130) / CAST(0.02 AS DOUBLE)) AS BIGINT) AS col FROM p) SELECT p_partkey, CASE WHEN row BETWEEN 0 AND 299 AND col BETWEEN 0 AND 599 THEN row * 600 + col END AS cell_id FROM c")
 def jn20_nearest_cell(spark, d):
     k = F.col("p_partkey")
@@ -327,7 +308,7 @@ def dm15_runoff_volume(spark, d):
     return got.select("event_type", r("volume_acreft", 4).alias("volume_acreft"))
 
 
-@query(f"WITH {XW} SELECT divide_id, round(sum(fraction), 4) AS total FROM xw WHERE fraction > 0.01 AND cell_id BETWEEN 10 AND 500 GROUP BY 1")
+@query(f"WITH {XW} SELECT divide_id, round(sum(fraction), 4) AS total FROM xw WHERE fraction > 0.01 GROUP BY 1")
 def fl19_tiny_overlap(spark, d):
     return crosswalk(spark, d).where(F.col("fraction") > 0.01).groupBy("divide_id").agg(r(F.sum("fraction"), 4).alias("total"))
 

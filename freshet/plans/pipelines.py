@@ -121,9 +121,9 @@ def flood_table(raw: DataFrame, gauges: DataFrame, options: Floods = Floods()) -
     limits = hydro.exceeded(flows, ["STAID"], "q", options.percent)
     found = hydro.detected(flows, "STAID", "q", "bin", options.detection).select("STAID", "begin", "end")
     inside = events.range_join(found, flows, "begin", "end", "bin", days=4, on=("STAID",))
-    got = hydro.event_metrics(inside, ["STAID", "begin"], "q", "bin").drop("begin")
-    big = got.join(limits, "STAID").where("peak >= threshold").drop("threshold")
-    return hydro.event_table(big, "STAID").join(gauges.select("STAID", "LAT_GAGE", "LNG_GAGE"), "STAID", "left")
+    got = hydro.event_metrics(inside.withColumnRenamed("end", "until"), ["STAID", "begin", "until"], "q", "bin").drop("start", "end").withColumnRenamed("until", "end")
+    big = got.join(limits, "STAID").where("peak >= threshold")
+    return hydro.event_table(big, "STAID").join(gauges.select("STAID", F.col("LAT_GAGE").alias("gage_lat"), F.col("LNG_GAGE").alias("gage_lon")), "STAID", "left")
 
 
 def gauges_within(gauges: DataFrame, units: DataFrame, code: str, size: float = 0.5) -> DataFrame:

@@ -149,7 +149,7 @@ def ag29_coverage(spark, d):
     """WITH f AS (SELECT *, lag(value) OVER w AS q, lag(ts) OVER w AS t FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
     a AS (SELECT user_id, min(ts) AS s, max(ts) AS e, max(value) AS peak, arg_max(ts, value) AS pt, count(*) AS n, sum(abs(value - q)) AS ch, sum(value) AS tot,
         coalesce(sum((value + q) / 2 * ((epoch_us(ts) - epoch_us(t)) / CAST(1000000 AS DOUBLE))), 0) / CAST(43560 AS DOUBLE) AS vol FROM f GROUP BY 1)
-    SELECT user_id, peak, strftime(pt, '%Y-%m-%d %H:%M:%S') AS peak_time, round(vol, 4) AS volume_acreft, round(CASE WHEN n > 1 AND tot > 0 THEN ch / tot END, 6) AS flashiness,
+    SELECT user_id, peak, strftime(pt, '%Y-%m-%d %H:%M:%S') AS peak_time, round(vol, 4) AS volume_acreft, round(CASE WHEN tot > 0 THEN coalesce(ch, 0) / tot END, 6) AS flashiness,
         round((epoch_us(e) - epoch_us(s)) / CAST(3600000000 AS DOUBLE), 6) AS duration_hours, round((epoch_us(pt) - epoch_us(s)) / CAST(3600000000 AS DOUBLE), 6) AS time_to_peak_h FROM a"""
 )
 def ag24_event_metrics(spark, d):
@@ -182,12 +182,6 @@ def fl02_above_threshold(spark, d):
     return observations(spark, d).join(limits, "event_type").where("value >= threshold").groupBy("event_type").agg(F.count("*").alias("n"), r(F.sum("value"), 4).alias("total"))
 
 
-@query()
-def wn17_detect(spark, d):
-    own = timeseries.densified(timeseries.binned(observations(spark, d), ["event_type"], 60, F.avg("v").alias("m")), ["event_type"], 60)
-    return hydro.detected(own, "event_type", "m", "bin", hydro.Detection(residual=20.0))
-
-
 @query("SELECT user_id, count(*) AS n, count(v) AS n_good, string_agg(DISTINCT CAST(m AS VARCHAR), ',' ORDER BY CAST(m AS VARCHAR)) AS minutes FROM (SELECT *, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS v, minute(ts) // 15 AS m FROM events) GROUP BY 1")
 def dm26_quality(spark, d):
     own = observations(spark, d).withColumn("q", times.floored(F.col("ts"), 15))
@@ -510,14 +504,14 @@ def dm11_flow_grid(spark, d):
 
 
 def _two_cubes(spark, d):
-    own = observations(spark, d).select(times.day(F.col("ts")).alias("event_id"), F.col("hr").alias("ts"), F.col("event_type").alias("divide_id"), "user_id", "value")
+    own = observations(spark, d).select(times.day(F.col("ts")).alias("event_id"), F.col("hr").alias("ts"), F.col("event_type").alias("divide_id"), "v", "value")
     a = cubes.numbered_steps(own.groupBy("event_id", "ts", "divide_id").agg(F.avg("value").alias("p")), minutes=60)
-    b = cubes.numbered_steps(own.where("user_id % 3 = 0").groupBy("event_id", "ts", "divide_id").agg(F.max("value").alias("t")), minutes=60)
+    b = cubes.numbered_steps(own.where("v IS NOT NULL").groupBy("event_id", "ts", "divide_id").agg(F.max("value").alias("t")), minutes=60)
     return a, b
 
 
 _CUBES = f"""{EV}, a0 AS (SELECT epoch_us(hr) // 86400000000 AS event_id, hr AS ts, event_type AS divide_id, avg(value) AS p FROM ev GROUP BY 1, 2, 3),
-    b0 AS (SELECT epoch_us(hr) // 86400000000 AS event_id, hr AS ts, event_type AS divide_id, max(value) AS t FROM ev WHERE user_id % 3 = 0 GROUP BY 1, 2, 3),
+    b0 AS (SELECT epoch_us(hr) // 86400000000 AS event_id, hr AS ts, event_type AS divide_id, max(value) AS t FROM ev WHERE v IS NOT NULL GROUP BY 1, 2, 3),
     a AS (SELECT *, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY event_id)) // 3600000000 AS step FROM a0), b AS (SELECT *, (epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY event_id)) // 3600000000 AS step FROM b0)"""
 
 

@@ -30,6 +30,11 @@ def csv(spark: SparkSession, path: str, schema: str, time_format: str | None = N
     return (reader.option("comment", comment) if comment else reader).csv(path)
 
 
+def csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+    """Types are found by a pass over the file; pipelines give a schema instead."""
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
 def stations(spark: SparkSession, path: str) -> DataFrame:
     """A station list: comments, all columns text, headers cleaned."""
     return clean_headers(spark.read.option("header", True).option("comment", "#").option("inferSchema", False).csv(path))

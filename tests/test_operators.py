@@ -181,7 +181,7 @@ def test_event_metrics(spark):
     assert got.volume_acreft == pytest.approx(2.066116, abs=1e-6) and got.flashiness == pytest.approx(60 / 110)
     assert (got.peak, got.time_to_peak_h, got.duration_hours) == (40, 0.5, 1.0)
     alone = hydro.event_metrics(flows(spark, [5.0]), ["STAID"], "q", "ts").first()
-    assert alone.volume_acreft == 0 and alone.flashiness is None
+    assert alone.volume_acreft == 0 and alone.flashiness == 0
 
 
 def test_detector():
@@ -427,7 +427,7 @@ def test_flood_pipeline(spark):
     raw = flows(spark, q).withColumn("ord", F.monotonically_increasing_id())
     gauges = spark.createDataFrame([("g", 35.0, -78.0)], "STAID string, LAT_GAGE double, LNG_GAGE double")
     got = pipelines.flood_table(raw, gauges, pipelines.Floods(detection=hydro.Detection(residual=3.0))).collect()
-    assert len(got) == 1 and got[0].peak == 100 and got[0].LAT_GAGE == 35 and got[0].event_id == 1
+    assert len(got) == 1 and got[0].peak_flow_cfs == 100 and got[0].gage_lat == 35 and got[0].event_id == 1
 
 
 def test_manifest_and_master(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from freshet.plans import domain_queries  # noqa: F401
+from freshet.plans import domain_queries, file_queries  # noqa: F401
 from freshet.plans.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"

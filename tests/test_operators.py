@@ -8,6 +8,7 @@ import json
 import math
 import sqlite3
 import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from freshet.functions import ids, physics, times, wkb
 from freshet.operators import cubes, events, graph, grid, hydro, relational, spatial, timeseries, weights
 from freshet.plans import pipelines
-from freshet.sources import gpkg, tables
+from freshet.sources import gpkg, grib, netcdf, shapefile, tables, zarr
 from freshet.streaming.bins import streamed_bins
 
 
@@ -440,3 +441,108 @@ def test_manifest_and_master(spark):
     network = spark.createDataFrame([("cat-1", "v1", 1), ("cat-1", "v2", 2)], "divide_id string, vpuid string, ord long")
     divides = spark.createDataFrame([("cat-1", "tnx-4"), ("cat-2", "nex-5")], "divide_id string, toid string")
     assert sorted(one(pipelines.catchment_master(network, divides), "divide_id", "vpuid", "nexus_type", "is_terminal")) == [("cat-1", "v1", "tnx", True), ("cat-2", None, "nex", False)]
+
+
+# ---- formats of single files
+
+
+def test_detection_without_events(spark):
+    """A site without events, beside one with some, gives no rows and typed columns."""
+    q = [10.0] * 100 + [10 + 90 * math.exp(-k / 8) for k in range(30)] + [10.0] * 100
+    flat = flows(spark, [5.0] * 230, 60).withColumn("STAID", F.lit("flat"))
+    none = flows(spark, [None] * 230, 60).withColumn("STAID", F.lit("none"))
+    got = hydro.detected(flows(spark, q, 60).unionByName(flat).unionByName(none), "STAID", "q", "ts", hydro.Detection(residual=3.0))
+    assert {r.STAID for r in got.collect()} == {"g"} and dict(got.dtypes)["begin"] == "timestamp"
+    assert hydro.detected(flat, "STAID", "q", "ts", hydro.Detection(residual=3.0)).count() == 0
+
+
+def test_calendar_of_an_event_over_midnight(spark):
+    rows = [("a", at("2021-09-30 23:00"), at("2021-10-01 05:00"), at("2021-10-01 01:00"), 9.0, 1.0, 0.5), ("b", at("2021-01-01"), at("2021-01-02"), at("2021-01-01"), 1.0, 1.0, 0.0), ("a", at("2020-05-01"), at("2020-05-02"), at("2020-05-01"), 2.0, 1.0, 0.0)]
+    got = hydro.event_table(spark.createDataFrame(rows, "STAID string, begin timestamp, end timestamp, peak_time timestamp, peak double, volume_acreft double, flashiness double"), "STAID")
+    assert sorted(one(got, "event_id", "STAID", "YEAR", "month", "day", "water_year", "duration_hours", "time_to_peak_h")) == [(1, "a", 2020, 5, 1, 2020, 24.0, 0.0), (2, "a", 2021, 9, 30, 2021, 6.0, 2.0), (3, "b", 2021, 1, 1, 2021, 24.0, 0.0)]
+
+
+def test_netcdf_records_and_packing(tmp_path):
+    """A file with a record dimension, packed values and text, laid out by hand."""
+    name = lambda s: struct.pack(">i", len(s)) + s.encode() + b"\0" * (-len(s) % 4)
+    attr = name("scale_factor") + struct.pack(">iif", 5, 1, 0.5) + name("_FillValue") + struct.pack(">iih2x", 3, 1, -1)
+    dims = struct.pack(">ii", 10, 2) + name("time") + struct.pack(">i", 0) + name("x") + struct.pack(">i", 3)
+    head = lambda a, b: b"CDF\x01" + struct.pack(">i", 2) + dims + struct.pack(">ii", 0, 0) + struct.pack(">ii", 11, 2) + name("v") + struct.pack(">iii", 2, 0, 1) + struct.pack(">ii", 12, 2) + attr + struct.pack(">iii", 3, 8, a) + name("t") + struct.pack(">ii", 1, 0) + struct.pack(">ii", 0, 0) + struct.pack(">iii", 6, 8, b)
+    start = len(head(0, 0))
+    body = b"".join(struct.pack(">3h2x", *v) + struct.pack(">d", t) for v, t in (((2, -1, 4), 10.0), ((6, 8, -1), 20.0)))
+    (tmp_path / "r.nc").write_bytes(head(start, start + 8) + body)
+    file = netcdf.File(f"{tmp_path}/r.nc")
+    assert file.variables["v"].shape == [2, 3] and file.values("t").tolist() == [10.0, 20.0]
+    assert np.array_equal(file.values("v"), [[1, np.nan, 2], [3, 4, np.nan]], equal_nan=True)
+    assert np.array_equal(file.values("v", 1, 2), [[3, 4, np.nan]], equal_nan=True)
+    with pytest.raises(ValueError):
+        (tmp_path / "h.nc").write_bytes(b"\x89HDF0000")
+        netcdf.File(f"{tmp_path}/h.nc")
+
+
+def test_zarr_edges(spark, tmp_path):
+    values = np.arange(35, dtype="f4").reshape(5, 7)
+    zarr.write_array(f"{tmp_path}/s.zarr", "v", values, ["a", "b"], [2, 3])
+    (tmp_path / "s.zarr/v/0.0").unlink()  # a chunk that isn't stored
+    zarr.register(spark)
+    got = {(r.a, r.b): r.v for r in spark.read.format("zarr").option("variables", "v").load(f"{tmp_path}/s.zarr").collect()}
+    assert len(got) == 35 and got[4, 6] == 34 and got[0, 3] == 3 and all(got[a, b] is None for a in (0, 1) for b in (0, 1, 2))
+    meta = json.loads((tmp_path / "s.zarr/v/.zarray").read_text()) | {"compressor": {"id": "blosc"}}
+    (tmp_path / "s.zarr/v/.zarray").write_text(json.dumps(meta))
+    with pytest.raises(ValueError):
+        zarr.Array(f"{tmp_path}/s.zarr", "v").chunk([1, 1])
+
+
+def test_shapefile_with_holes_and_points(spark, tmp_path):
+    ring = wkb.polygon([(0, 0), (4, 0), (4, 4), (0, 4)], [(1, 1), (1, 2), (2, 2), (2, 1)])
+    two = wkb.multipolygon([[np.array([(0, 0), (1, 0), (1, 1), (0, 1)], float)], [np.array([(5, 5), (7, 5), (7, 7), (5, 7)], float)]])
+    shapefile.write(f"{tmp_path}/p.shp", [("name", "C", 8, 0), ("n", "N", 6, 0)], [("hole", 1, ring), ("two", None, two)])
+    shapefile.register(spark)
+    got = spatial.measured(spark.read.format("shp").load(f"{tmp_path}/p.shp"))
+    assert sorted(one(got, "name", "n", "area")) == [("hole", 1, 15.0), ("two", None, 5.0)]
+    shapefile.write(f"{tmp_path}/q.shp", [("size", "N", 8, 2)], [(1.5, (3.0, 4.0))], 1)
+    assert one(spatial.coordinates(spark.read.format("shp").load(f"{tmp_path}/q.shp")), "size", "x", "y") == [(1.5, 3.0, 4.0)]
+
+
+@pytest.mark.parametrize("as_png", [False, True])
+def test_radar_messages(as_png):
+    field = np.round(np.random.default_rng(1).uniform(-3, 90, (6, 9)), 1)
+    assert np.allclose(grib.decode(grib.encode(field, 1, as_png)), field, atol=0.05)
+    with pytest.raises(ValueError):
+        grib.decode(b"GRIB\0\0\0\x01" + bytes(20))
+
+
+def test_image_filters():
+    """Each filter of the image format against its definition, byte by byte."""
+    rng, (w, h) = np.random.default_rng(2), (5, 5)
+    want = rng.integers(0, 256, (h, 2 * w))
+    lines = []
+    for k, row in enumerate(want):
+        above = want[k - 1] if k else np.zeros(2 * w, int)
+        out = []
+        for i, x in enumerate(row.tolist()):
+            a, b, c = (int(row[i - 2]) if i > 1 else 0), int(above[i]), (int(above[i - 2]) if i > 1 else 0)
+            paeth = min((abs(b - c), 0, a), (abs(a - c), 1, b), (abs(a + b - 2 * c), 2, c))[2]
+            out.append((x - [0, a, b, (a + b) // 2, paeth][k]) % 256)
+        lines.append(bytes([k, *out]))
+    chunk = lambda kind, d: struct.pack(">I", len(d)) + kind + d + b"\0\0\0\0"
+    image = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 16, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"".join(lines)))
+    assert grib.png(image)[0].tolist() == want.tolist()
+
+
+def test_dissolve_keeps_holes_and_touching_rings(spark):
+    cells = [(0, x, y) for x in range(3) for y in range(3) if (x, y) != (1, 1)] + [(1, 0, 0), (1, 1, 1)]
+    boxes = spatial.as_boxes(spark.createDataFrame([(k, float(x), float(y)) for k, x, y in cells], "k long, x double, y double"), "x", "y", 1.0, 1.0)
+    got = {r.k: wkb.parts(bytes(r.geometry)) for r in spatial.dissolved(boxes.select("k", "geometry"), "k").collect()}
+    assert [len(rings) for rings in got[0]] == [2] and wkb.area(wkb.multipolygon(got[0])) == 8
+    assert [len(rings) for rings in got[1]] == [1, 1] and wkb.area(wkb.multipolygon(got[1])) == 2
+
+
+def test_layers_written_and_replaced(spark, tmp_path):
+    path, rows = f"{tmp_path}/n.gpkg", spark.createDataFrame([(1, "a", bytearray(SQUARE)), (2, None, None)], "id long, name string, geom binary")
+    for _ in range(2):
+        gpkg.write_layer(rows, path, "units", "geom")
+    gpkg.register(spark)
+    got = spark.read.format("gpkg").option("layer", "units").load(path)
+    assert sorted(one(got, "id", "name")) == [(1, "a"), (2, None)] and bytes(got.where("id = 1").first().geom) == SQUARE
+    assert one(gpkg.queried(spark, path, "SELECT count(*), max(id) FROM units", "n long, most long"), "n", "most") == [(2, 2)]

@@ -43,8 +43,8 @@ BANDS, ROWS = 36, 8
 #: Percentage, bands and rows of the general rule for near duplicates.
 LOOSE = (80, 48, 7)
 FINE_BANDS, FINE_ROWS = 128, 16
-#: Shingles of a block of nodes, about, and shingles that are multiplied at once.
-BLOCK_SHINGLES, COLUMNS = 400_000, 4096
+#: Shingles of a block of nodes and nodes in it, about, and nodes and shingles that are multiplied at once.
+BLOCK_SHINGLES, BLOCK_NODES, NODES, COLUMNS = 400_000, 500, 1024, 2048
 #: Bytes that a row of a table takes once it is broadcast, about: its keys, the key of the hash table and what surrounds them.
 KEY_BYTES, HUB_BYTES, NODE_BYTES = 40, 160, 100
 
@@ -194,7 +194,7 @@ def _remaining(spark: SparkSession, rows: DataFrame, sets: DataFrame, roots: Dat
     clans = components(spark, joined).withColumnRenamed("root", "clan")
     own = apart.groupBy(F.col("node.set_id").alias("node")).agg(F.first("root").alias("root"), F.first("node.n").alias("n"), F.collect_set("key").alias("keys"))  # a key a band
     own = stored(spark, own.join(clans, "node"), "clans")
-    sizes = own.groupBy("clan").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    sizes = own.groupBy("clan").agg(F.ceil(F.greatest(F.sum("n") / F.lit(BLOCK_SHINGLES), F.count("*") / F.lit(BLOCK_NODES))).cast("int").alias("blocks"))
     sizes = stored(spark, sizes, "clan-sizes")
     dealt = own.join(sizes, "clan").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # each block goes to all pairs that it is part of
@@ -232,6 +232,11 @@ def between(left: list[tuple], right: list[tuple], percent: int) -> list[tuple[b
     left, right = ([x for x in side if any(len(of_key[k]) > 1 for k in x[2])] for side in (left, right))
     if not left or not right:
         return []
+    return [pair for a in range(0, len(left), NODES) for b in range(0, len(right), NODES) for pair in _close(left[a : a + NODES], right[b : b + NODES], percent)]
+
+
+def _close(left: list[tuple], right: list[tuple], percent: int) -> list[tuple[bytes, bytes]]:
+    """The similar enough pairs of different roots, from at most ``NODES`` nodes a side."""
     shared = np.intersect1d(np.concatenate([x[3] for x in left]), np.concatenate([x[3] for x in right]))
     number = {r: k for k, r in enumerate({x[1] for x in [*left, *right]})}
     total, entries = np.zeros((len(left), len(right)), np.float32), []

@@ -1,11 +1,9 @@
-"""What the operators of this subpackage share: tables, the shared folder and byte-level text helpers."""
+"""What the operators of this subpackage share: tables, stored steps and byte-level text helpers."""
 
 from __future__ import annotations
 
 import ctypes
 import os
-import tempfile
-import uuid
 import weakref
 from collections.abc import Callable, Iterator
 
@@ -13,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.session import shared_folder as shared_dir
+from freshet.session import ship as ship_package
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Lower-cases A-Z in UTF-8 bytes and leaves all other bytes.
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
@@ -23,14 +24,11 @@ BATCH_ROWS = 2_000
 
 
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers on this machine import the package from where the driver has it (clusters: --py-files),
-    and keeps batches of whole texts small."""
+    """Lets Python workers import the package, and keeps batches of whole texts small: where the session has Spark's own
+    setting for rows a batch, it gets a smaller one; a setting of the caller's stays."""
     if spark.conf.get(rows := "spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set(rows, str(BATCH_ROWS))
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if root not in paths.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+    ship_package(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,21 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder name under ``spark.checkpoint.dir``, which driver and executors share.
-
-    Where the setting is absent, a local session gets a temporary folder; a cluster gets an error, as a
-    machine-local folder would lose rows there.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("freshet.shared.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="freshet-")
-        spark.conf.set("freshet.shared.dir", base)
-    return f"{base.rstrip('/')}/freshet/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Writes a table to the shared folder and reads it back: cuts lineage, survives lost executors."""
     path = shared_dir(spark, name)

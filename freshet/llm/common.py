@@ -19,15 +19,17 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
-#: Rows that go to Python at once, where the session has Spark's own 10,000: whole texts make large batches.
-BATCH_ROWS = 2_000
+#: Rows and bytes that go to Python at once, where the session has Spark's own settings: whole texts make large batches, whose buffers
+#: stay with the executor as native memory.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", f"{8 << 20}b")}
 
 
 def ship(spark: SparkSession) -> None:
     """Lets Python workers import the package, and keeps batches of whole texts small: where the session has Spark's own
-    setting for rows a batch, it gets a smaller one; a setting of the caller's stays."""
-    if spark.conf.get(rows := "spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set(rows, str(BATCH_ROWS))
+    settings for batches, it gets smaller ones; settings of the caller's stay."""
+    for name, (given, smaller) in BATCHES.items():
+        if spark.conf.get(name, None) == given:
+            spark.conf.set(name, smaller)
     ship_package(spark)
 
 
@@ -81,7 +83,7 @@ def tidy(f: Callable) -> Callable:
 
 
 #: Tables up to so many bytes in memory are broadcast.
-SMALL_BYTES = 48 << 20
+SMALL_BYTES = 32 << 20
 
 
 def small_or_not(table_: DataFrame, row_bytes: int) -> DataFrame:

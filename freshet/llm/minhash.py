@@ -12,7 +12,7 @@
    matrix products. This takes time by the square of a clan, in the worst case, but as many tasks as there are pairs of blocks.
 
 With 36 bands of 8 rows two sets with the resemblance 0.85 miss each other with a probability of 1e-5 where bins are independent, less if they
-are closer; at 0.80, 48 bands of 7 rows give the same. Bins of sets with fewer shingles than bins are filled from others and not quite
+are closer; at 0.80, 40 bands of 7 rows miss with 8e-5. Bins of sets with fewer shingles than bins are filled from others and not quite
 independent: 2 of 9,000 such pairs with about 47 shingles and a resemblance near 0.85 were missed.
 Words and shingles are told apart by 64-bit hashes throughout, also where full sets are compared.
 
@@ -41,12 +41,12 @@ from freshet.llm.shingles import OnePermutation, set_id, shingle_set
 PERCENT = 85
 BANDS, ROWS = 36, 8
 #: Percentage, bands and rows of the general rule for near duplicates.
-LOOSE = (80, 48, 7)
+LOOSE = (80, 40, 7)
 FINE_BANDS, FINE_ROWS = 128, 16
-#: Shingles of a block of nodes and nodes in it, about, and nodes and shingles that are multiplied at once.
-BLOCK_SHINGLES, BLOCK_NODES, NODES, COLUMNS = 400_000, 500, 1024, 2048
+#: Shingles of a block of nodes, about, and nodes and shingles that are multiplied at once.
+BLOCK_SHINGLES, NODES, COLUMNS = 400_000, 1024, 2048
 #: Bytes that a row of a table takes once it is broadcast, about: its keys, the key of the hash table and what surrounds them.
-KEY_BYTES, HUB_BYTES, NODE_BYTES = 40, 160, 100
+KEY_BYTES, HUB_BYTES, NODE_BYTES = 40, 256, 100
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -130,6 +130,19 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         labels = stored(spark, best.drop("old").join(jump, "root").select("node", F.col("next").alias("root")), "labels")
 
 
+def _merged(spark: SparkSession, roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The roots after more links: only components that a new link joins are gone through again, one node each."""
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    known = stored(spark, roots.unionByName(ends.join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))), "known-roots")
+    of = [known.select(F.col("node").alias(c), F.col("root").alias(f"of_{c}")) for c in ("a", "b")]
+    pairs = links.join(of[0], "a").join(of[1], "b").where("of_a != of_b").select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b")).distinct()
+    pairs = stored(spark, pairs, "root-links")
+    if not pairs.limit(1).count():
+        return known
+    top = components(spark, pairs).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return stored(spark, known.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "roots")
+
+
 def _apart(spark: SparkSession, rows: DataFrame, roots: DataFrame, name: str) -> DataFrame:
     """Rows of the buckets that hold more than one component, with the nodes' roots."""
     own = rows.join(roots.select(F.col("node").alias("of"), "root"), F.col("node.set_id") == F.col("of"), "left").select("key", "node", "low", "high", F.coalesce("root", "node.set_id").alias("root"))
@@ -157,10 +170,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = PERCENT
     roots = components(spark, links)
     apart = stored(spark, _apart(spark, rows, roots, "apart").select("node.set_id").distinct(), "apart-nodes")
     if apart.limit(1).count():
-        links = stored(spark, links.unionByName(_second_stars(spark, sets.join(apart, "set_id"), sets, roots, percent)), "all-links")
-        roots = components(spark, links)
-        links = stored(spark, links.unionByName(_remaining(spark, rows, sets, roots, percent)), "exact-links")
-        roots = components(spark, links)
+        roots = _merged(spark, roots, stored(spark, _second_stars(spark, sets.join(apart, "set_id"), sets, roots, percent), "more-links"))
+        roots = _merged(spark, roots, stored(spark, _remaining(spark, rows, sets, roots, percent), "exact-links"))
     named = roots.join(nodes.select(F.col("set_id").alias("node"), "least"), "node")
     named = stored(spark, named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select(F.col("node").alias("set_id"), "component_id"), "named")
     copies = nodes.where("copies > 1").join(named, "set_id", "left_anti").select("set_id", F.col("least").alias("component_id"))
@@ -194,7 +205,7 @@ def _remaining(spark: SparkSession, rows: DataFrame, sets: DataFrame, roots: Dat
     clans = components(spark, joined).withColumnRenamed("root", "clan")
     own = apart.groupBy(F.col("node.set_id").alias("node")).agg(F.first("root").alias("root"), F.first("node.n").alias("n"), F.collect_set("key").alias("keys"))  # a key a band
     own = stored(spark, own.join(clans, "node"), "clans")
-    sizes = own.groupBy("clan").agg(F.ceil(F.greatest(F.sum("n") / F.lit(BLOCK_SHINGLES), F.count("*") / F.lit(BLOCK_NODES))).cast("int").alias("blocks"))
+    sizes = own.groupBy("clan").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
     sizes = stored(spark, sizes, "clan-sizes")
     dealt = own.join(sizes, "clan").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # each block goes to all pairs that it is part of

@@ -194,7 +194,7 @@ def _cube(spark, d):
     return own
 
 
-_CUBE = f"WITH {EV} SELECT event_type AS divide_id, {stamp('hr')} AS ts, round(avg(v), 3) AS p, round(max(value), 3) AS t FROM ev GROUP BY event_type, hr"
+_CUBE = f"WITH {EV} SELECT event_type AS divide_id, {stamp('hr')} AS ts, CAST(CAST(avg(v) AS REAL) AS DOUBLE) AS p, CAST(CAST(max(value) AS REAL) AS DOUBLE) AS t FROM ev GROUP BY event_type, hr"
 
 
 def _written_cube(spark, d) -> str:
@@ -213,7 +213,7 @@ def _read_cube(spark, at: str):
 @query(_CUBE)
 def sc11_netcdf(spark, d):
     got = _read_cube(spark, _written_cube(spark, d)).where("P IS NOT NULL OR T IS NOT NULL")
-    return got.select("divide_id", "ts", r("P", 3).alias("p"), r("T", 3).alias("t"))
+    return got.select("divide_id", "ts", F.col("P").alias("p"), F.col("T").alias("t"))
 
 
 @query("SELECT DISTINCT event_type AS catchment_id FROM events")

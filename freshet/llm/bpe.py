@@ -29,7 +29,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Cached parts of texts and pre-tokens of a worker: some 40 MB, as workers outlive this operator in a pipeline.
 PARTS, MATCHES = 100_000, 60_000
 #: Text bytes that are encoded at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 FIRST_CHAR = 0x100
 SEPARATOR = "\u2028"
 _TO_CHARS = {b: FIRST_CHAR + b for b in range(256)}

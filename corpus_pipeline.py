@@ -14,23 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.llm import bpe, content_sort, decontaminate, language_id, minhash
-from freshet.llm.common import id_residue, ship, small_or_not, stored, table
+from freshet.llm.common import id_residue, lean, small_or_not, stored, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Predicts every document's language and keeps those that get one."""
-    ship(spark)
+    lean(spark)
     decoder = language_id.train(docs.where(id_residue(F.col("doc_id"), 4) != 2))
     return language_id.accepted(spark, docs, decoder)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    lean(spark)
     return content_sort.exact_kept(spark, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    lean(spark)
     found = stored(spark, minhash.near_duplicates(spark, docs, *minhash.LOOSE), "near-duplicates")
     gone = found.where("NOT kept").select("doc_id").join(found.where("kept").select("doc_id"), "doc_id", "left_anti").distinct()
     gone = small_or_not(stored(spark, gone, "near-duplicates-gone"), minhash.KEY_BYTES)
@@ -38,11 +38,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lean(spark)
     return decontaminate.decontaminated(spark, docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    lean(spark)
     return bpe.encode_documents(docs)
 
 
@@ -60,6 +61,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents."""
+    lean(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(spark, stage(spark, docs, sf_dir), name.replace(" ", "-"))

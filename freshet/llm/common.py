@@ -40,6 +40,8 @@ LEAN = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_
 def lean(spark: SparkSession) -> None:
     """For runs of several operators, whose workers live on beside each other's data: ``ship``, and workers that keep less memory."""
     ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == BATCHES["spark.sql.execution.arrow.maxRecordsPerBatch"][1]:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     for name, value in LEAN.items():
         spark.sparkContext.environment.setdefault(name, value)
 

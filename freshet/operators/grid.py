@@ -70,6 +70,12 @@ class Grid:
         lon, lat = self.lon(F.col("col")), self.lat(F.col("row"))
         return cells.withColumns({"xmin": lon - half, "xmax": lon + half, "ymin": lat - half, "ymax": lat + half})
 
+    def touched(self, boxes: DataFrame) -> DataFrame:
+        """Rows and columns of all cells that boxes (xmin, ymin, xmax, ymax) touch, once; they go on beyond the grid's edges, where numbers are negative or large."""
+        n = lambda c: F.floor(c / self.step).cast("long")
+        down = boxes.select("xmin", "xmax", F.explode(F.sequence(n(F.lit(self.north) - F.col("ymax")), n(F.lit(self.north) - F.col("ymin")))).alias("row"))
+        return down.select("row", F.explode(F.sequence(n(F.col("xmin") - self.west), n(F.col("xmax") - self.west))).alias("col")).distinct()
+
     def table(self, spark: SparkSession) -> DataFrame:
         """All cells with their centres."""
         cells = spark.range(self.rows * self.columns).withColumnRenamed("id", "cell_id")

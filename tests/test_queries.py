@@ -54,3 +54,11 @@ def test_tiny_overlaps_of_all_cells(spark):
         if row.fraction > 0.01:
             want[row.divide_id] = want.get(row.divide_id, 0) + float(row.fraction)
     assert got.keys() == want.keys() and all(abs(float(got[k]) - v) < 1e-3 for k, v in want.items())
+
+
+def test_polygon_overlap_beyond_the_grid(agree, spark, tmp_path):
+    """Suppliers north of the coarse grid, across its edge, and with one id twice: a row each."""
+    table = spark.read.parquet(f"{SF}/supplier.parquet").limit(1)
+    keys = spark.createDataFrame([(k,) for k in (0, 659, 660, 665, 999, 59999, 7, 7)], "s_suppkey long")
+    keys.crossJoin(table.drop("s_suppkey")).write.parquet(str(tmp_path / "supplier.parquet"))
+    agree(QUERIES["sp10_polygon_overlap"], ORACLE_SQL["sp10_polygon_overlap"], str(tmp_path))

@@ -10,8 +10,8 @@ the number of their block of documents, and come back summed. No word or documen
 
 The neural model knows every word that training holds at least ``least_count`` times; that count grows with the square root of the training
 tokens, so that the vocabulary grows with the corpus while its vectors (136 bytes a word) fit in an executor. All rarer words are one symbol;
-the end and the beginning are two more. Each task trains its own copy on a ``DRAWN`` share of the tokens of all its training documents, drawn at random and each
-used at most once, so that the draws grow with the corpus; the copies' changes are averaged vector by vector, over the tasks that met the vector. The model therefore depends on how the input is split into tasks. A text's
+the end and the beginning are two more. Each task trains its own copy on all tokens of all its training documents, each
+used once, in random order within a chunk; the copies' changes are averaged vector by vector, over the tasks that met the vector. The model therefore depends on how the input is split into tasks. A text's
 score is the sum of its symbols' normalised log-probabilities, and for rarer words also that of the word among them (add-one unigram).
 
 Defined results: null text counts as empty, with the end as its only token; a null doc_id is not held out; rows with
@@ -22,7 +22,7 @@ ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,15 +47,13 @@ FLUSH = 2_000_000
 #: Text bytes for each bucket of words; between LEAST and MOST buckets.
 BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 8 << 20, 8, 4096
 CHUNK_BYTES = 2_000_000
-#: Share of the training tokens that the model's training draws.
-DRAWN = 0.25
 
 
 def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(LOWER_BYTES).split()
 
 
-def hashed(words: list[bytes]) -> np.ndarray:
+def hashed(words: Sequence[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
@@ -238,7 +236,7 @@ def _chunk(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if empty.any():
         words, lengths = words.filter(pc.not_equal(pc.binary_length(words), 0)), np.where(empty, 0, lengths)
     numbered = words.dictionary_encode()
-    hashes = hashed(numbered.dictionary.to_pylist())
+    hashes = hashed(numbered.dictionary.to_numpy(zero_copy_only=False))
     order, rank = np.argsort(hashes), np.empty(len(hashes), np.int64)
     rank[order] = np.arange(len(order))
     return hashes[order], rank[numbered.indices.to_numpy()], lengths
@@ -278,7 +276,7 @@ def _summed(parts: DataFrame, *keys: str) -> DataFrame:
 
 
 def trained(docs: DataFrame, corpus: Corpus) -> log_bilinear.Weights:
-    """Trains on a random share of the tokens of all training documents."""
+    """Trains on all tokens of all training documents."""
     shipped, own = docs.sparkSession.sparkContext.broadcast(corpus), docs.where(F.col("residue") != HELD_OUT).select("text")
     groups = max(1, math.isqrt(own.rdd.getNumPartitions()))
 
@@ -289,7 +287,7 @@ def trained(docs: DataFrame, corpus: Corpus) -> log_bilinear.Weights:
             for a, b in slices(batch.column(0), CHUNK_BYTES):
                 h, word, lengths = _chunk(batch.column(0).slice(a, b - a))
                 x, y, z, _ = symbol_sequence(_symbols(corpus, h)[word], lengths, corpus.end, corpus.begin)
-                trainer.feed(x, y, z, DRAWN)
+                trainer.feed(x, y, z)
         for block, change, weights in trainer.parts() if trainer else ():
             row = {"block": block, "part": TaskContext.get().partitionId() % groups, "change": packed(change * log_bilinear.spread(weights), "<f4"), "weights": packed(weights, "<f4")}
             yield pa.RecordBatch.from_pylist([row], schema=_PART_ARROW)

@@ -62,8 +62,8 @@ def train(counts: np.ndarray, begin: int, steps: int = STEPS, seed: int = 3) ->
     return (score - np.log(np.exp(score).sum(axis=1, keepdims=True))).reshape(n, n, n)
 
 
-#: Noise classes a batch, noise symbols a token, tokens a batch, learning rate, rows of a block of products.
-CLASS_NOISE, OWN_NOISE, TOKENS, STEP, BLOCK = 128, 2, 4096, 0.05, 4096
+#: Noise classes a batch, tokens of a class that share noise symbols, and how many, tokens a batch, learning rate, rows of a block of products.
+CLASS_NOISE, SHARERS, OWN_NOISE, TOKENS, STEP, BLOCK = 128, 8, 4, 4096, 0.05, 4096
 #: Entries of a block of products.
 CACHED = 1 << 17
 
@@ -85,37 +85,40 @@ class Vocabulary:
 
 
 class Weights:
-    """symbols: a row each of context vector, own vector and bias; classes: a row each of vector and bias; places: two matrices."""
+    """context: a row a symbol; own: a row each of vector and bias; classes: a row each of vector and bias; places: two matrices."""
 
     def __init__(self, vocabulary: Vocabulary, seed: int = 3):
         rng, n, c = np.random.default_rng(seed), len(vocabulary.counts), len(vocabulary.class_share)
-        self.symbols = rng.normal(0, 0.1, (n + 1, 2 * DIMENSIONS + 1)).astype(np.float32)
-        self.symbols[:n, -1], self.symbols[n, -1] = np.log(vocabulary.own_share), 0
+        self.context = rng.normal(0, 0.1, (n + 1, DIMENSIONS)).astype(np.float32)
+        self.own = rng.normal(0, 0.1, (n + 1, DIMENSIONS + 1)).astype(np.float32)
+        self.own[:n, -1], self.own[n, -1] = np.log(vocabulary.own_share), 0
         self.classes = rng.normal(0, 0.1, (c, DIMENSIONS + 1)).astype(np.float32)
         self.classes[:, -1] = np.log(vocabulary.class_share)
         self.places = np.stack([np.eye(DIMENSIONS, dtype=np.float32) * 0.5] * 2)
 
     def predicted(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        return self.symbols[x, :DIMENSIONS] @ self.places[0] + self.symbols[y, :DIMENSIONS] @ self.places[1]
+        return self.context.take(x, 0) @ self.places[0] + self.context.take(y, 0) @ self.places[1]
 
     def log_probabilities(self, vocabulary: Vocabulary, x: np.ndarray, y: np.ndarray, z: np.ndarray) -> np.ndarray:
         """Natural logarithms of the normalised probabilities of the symbols z after x and y."""
-        out = np.empty(len(z))
-        order = np.argsort(vocabulary.of[z], kind="stable")
-        kinds, starts = np.unique(vocabulary.of[z[order]], return_index=True)
-        predicted = np.ones((len(z), DIMENSIONS + 1), np.float32)
+        order = np.argsort(z.astype(np.int32))  # by symbol, and so by class
+        x, y, z = (v.take(order) for v in (x, y, z))
+        of, out, predicted = vocabulary.of.take(z), np.empty(len(z)), np.empty((len(z), DIMENSIONS), np.float32)
         for a in range(0, len(z), BLOCK):
-            predicted[a : a + BLOCK, :-1] = self.predicted(x[a : a + BLOCK], y[a : a + BLOCK])
+            predicted[a : a + BLOCK] = self.predicted(x[a : a + BLOCK], y[a : a + BLOCK])
         step = _lines(len(self.classes))
         for a in range(0, len(z), step):
             s = slice(a, a + step)
-            out[s] = _log_share(predicted[s], self.classes, vocabulary.of[z[s]])
-        for k, a, b in zip(kinds.tolist(), starts.tolist(), [*starts.tolist()[1:], len(z)], strict=True):
-            low, high = vocabulary.bounds[k], vocabulary.bounds[k + 1]
-            rows, step = np.ascontiguousarray(self.symbols[low:high, DIMENSIONS:]), _lines(high - low)
-            for at in (order[i : min(b, i + step)] for i in range(a, b, step)) if high - low > 1 else ():
-                out[at] += _log_share(predicted[at], rows, z[at] - low)
-        return out
+            out[s] = _log_share(predicted[s], self.classes, of[s])
+        starts = _starts(of).tolist() if len(z) else []
+        for a, b in zip(starts, [*starts[1:], len(z)], strict=False):  # none without tokens
+            low, high = vocabulary.bounds[of[a]], vocabulary.bounds[of[a] + 1]
+            rows, step = self.own[low:high], _lines(high - low)
+            for s in (slice(i, min(b, i + step)) for i in range(a, b, step)) if high - low > 1 else ():
+                out[s] += _log_share(predicted[s], rows, z[s] - low)
+        whole = np.empty(len(z))
+        whole[order] = out
+        return whole
 
 
 def _lines(width: int) -> int:
@@ -124,29 +127,57 @@ def _lines(width: int) -> int:
 
 
 def _log_share(predicted: np.ndarray, rows: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Normalised logarithms; the last column of ``predicted`` is one, that of the rows their bias."""
-    score = predicted @ rows.T
-    mine = score[np.arange(len(own)), own]
-    total = np.exp(score, out=score).sum(axis=1)
+    """Normalised logarithms; the last column of the rows is their bias."""
+    vectors, bias = rows[:, :-1], rows[:, -1]
+    score = predicted @ vectors.T
+    mine = score[np.arange(len(own)), own] + bias.take(own)
+    with np.errstate(over="ignore", invalid="ignore"):
+        total = np.exp(score, out=score) @ np.exp(bias)
     if not np.isfinite(total).all() or not total.all():  # scores that are out of range without scaling
-        score = predicted @ rows.T
+        score = predicted @ vectors.T + bias
         top = score.max(axis=1)
         return mine - top - np.log(np.exp(score - top[:, None]).sum(axis=1))
     return mine - np.log(total)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-
-
-def _rise(rows: np.ndarray, columns: slice, squares: np.ndarray, at: np.ndarray, up: np.ndarray) -> None:
+    """In place."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _starts(x: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers begins."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1]))
+
+
+def _sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of rows. Most runs are short: their second, third .. rows are added in rounds, what is left of long ones in one call."""
+    ends = np.append(starts[1:], len(rows))
+    out, live, done = rows.take(starts, 0), np.flatnonzero(ends - starts > 1), 1
+    while len(live) > 64 and done < 8:
+        out[live] += rows.take(starts.take(live) + done, 0)
+        done += 1
+        live = live[(ends - starts).take(live) > done]
+    if len(live):
+        bounds = np.column_stack([starts[live] + done, ends[live]]).ravel()
+        out[live] += np.add.reduceat(rows, bounds[:-1] if bounds[-1] == len(rows) else bounds, axis=0)[::2]
+    return out
+
+
+def _rise(rows: np.ndarray, squares: np.ndarray, at: np.ndarray, up: np.ndarray) -> None:
     """Adds the steps ``up`` to the rows ``at``, which may repeat, scaled by what each row has seen."""
-    order = np.argsort(at.astype(np.int32))
-    sorted_ = at[order]
-    first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
-    own, total = sorted_[first], np.add.reduceat(up[order], first, axis=0)
-    squares[own] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-    rows[own, columns] += STEP * total / np.sqrt(squares[own] + 1e-6)[:, None]
+    order = np.argsort(at)
+    sorted_ = at.take(order)
+    first = _starts(sorted_)
+    own, total = sorted_.take(first), _sums(up.take(order, 0), first)
+    seen = squares.take(own) + np.einsum("ij,ij->i", total, total) / total.shape[1]
+    squares[own] = seen
+    total *= (STEP / np.sqrt(seen + 1e-6))[:, None]
+    rows[own] = rows.take(own, 0) + total
 
 
 class Trainer:
@@ -156,39 +187,72 @@ class Trainer:
         self.vocabulary, self.weights, self.rng, self.seen = vocabulary, Weights(vocabulary), np.random.default_rng(seed), 0
         n, c = len(vocabulary.counts), len(vocabulary.class_share)
         self.context, self.own, self.classes, self.places = np.zeros(n + 1, np.float32), np.zeros(n + 1, np.float32), np.zeros(c, np.float32), np.full((2, DIMENSIONS, DIMENSIONS), 1e-6, np.float32)
-
-    def feed(self, x: np.ndarray, y: np.ndarray, z: np.ndarray, share: float = 1.0) -> None:
-        """Draws that share of the tokens, each at most once, and trains on them in random order."""
-        order = self.rng.permutation(len(z))[: round(len(z) * share)]
-        for a in range(0, len(order), TOKENS):
-            at = order[a : a + TOKENS]
-            self._step(x[at], y[at], z[at])
-        self.seen += len(order)
+        self.of, self.class_sums = vocabulary.of.astype(np.int32), np.cumsum(vocabulary.class_share)
+        self.class_handicap = np.log(CLASS_NOISE * vocabulary.class_share).astype(np.float32)
+        self.own_handicap = np.log(OWN_NOISE * vocabulary.own_share).astype(np.float32)
+
+    def feed(self, x: np.ndarray, y: np.ndarray, z: np.ndarray) -> None:
+        """Trains on all these tokens in random order."""
+        order = self.rng.permutation(len(z))
+        x, y, z = (v.astype(np.int32).take(order) for v in (x, y, z))
+        for a in range(0, len(z), TOKENS):
+            b = a + TOKENS
+            by_symbol = np.argsort(z[a:b])  # and so by class
+            self._step(*(v[a:b].take(by_symbol) for v in (x, y, z)))
+        self.seen += len(z)
 
     def _step(self, x: np.ndarray, y: np.ndarray, z: np.ndarray) -> None:
+        """A step on tokens in the order of their symbols."""
         v, w, d = self.vocabulary, self.weights, DIMENSIONS
-        predicted, kind = w.predicted(x, y), v.of[z]
+        kind, words = self.of.take(z), _starts(z)
+        context = [w.context.take(i, 0) for i in (x, y)]
+        # a class's tokens fill groups of SHARERS; empty places are zero and add nothing
+        first = _starts(kind)
+        kinds, sizes = kind.take(first), np.diff(np.append(first, len(kind)))
+        groups = -(-sizes // SHARERS)
+        place = np.arange(len(z)) + np.repeat(SHARERS * (np.cumsum(groups) - groups) - first, sizes)
+        n = int(groups.sum())
+        all_ = np.zeros((n * SHARERS, d + 1), np.float32)
+        predicted = np.ones((len(z), d + 1), np.float32)
+        predicted[:, :d] = context[0] @ w.places[0] + context[1] @ w.places[1]
+        all_[place] = predicted
         # classes: the same noise for all tokens of the batch
-        drawn = np.minimum(np.searchsorted(np.cumsum(v.class_share), self.rng.random(CLASS_NOISE)), len(v.class_share) - 1)
-        handicap = np.log(CLASS_NOISE * v.class_share).astype(np.float32)
-        right = 1 - _sigmoid(np.einsum("ij,ij->i", predicted, w.classes[kind, :d]) + w.classes[kind, d] - handicap[kind])
-        wrong = -_sigmoid(predicted @ w.classes[drawn, :d].T + w.classes[drawn, d] - handicap[drawn])
-        back = right[:, None] * w.classes[kind, :d] + wrong @ w.classes[drawn, :d]
-        up = np.vstack([np.column_stack([right[:, None] * predicted, right]), np.column_stack([wrong.T @ predicted, wrong.sum(axis=0)])])
-        # symbols: noise from the token's own class
-        low, high = v.cumulated[v.bounds[kind]][:, None], v.cumulated[v.bounds[kind + 1]][:, None]
-        noisy = np.searchsorted(v.cumulated, low + self.rng.random((len(z), OWN_NOISE)) * (high - low), "right") - 1
-        among = np.column_stack([z, np.clip(noisy, v.bounds[kind][:, None], v.bounds[kind + 1][:, None] - 1)])
-        rows = w.symbols[among, d:]
-        error = -_sigmoid(np.einsum("ij,ikj->ik", predicted, rows[:, :, :d]) + rows[:, :, d] - np.log(OWN_NOISE * v.own_share[among]).astype(np.float32))
-        error[:, 0] += 1
-        back += np.einsum("ik,ikj->ij", error, rows[:, :, :d])
-        own_up = error[:, :, None] * np.concatenate([predicted, np.ones((len(z), 1), np.float32)], axis=1)[:, None, :]
-        context = [w.symbols[i, :d] for i in (x, y)]
-        context_up = np.vstack([back @ p.T for p in w.places])
-        _rise(w.classes, slice(None), self.classes, np.concatenate([kind, drawn]), up)
-        _rise(w.symbols, slice(d, None), self.own, among.ravel(), own_up.reshape(-1, d + 1))
-        _rise(w.symbols, slice(d), self.context, np.concatenate([x, y]), context_up)
+        drawn = np.minimum(np.searchsorted(self.class_sums, self.rng.random(CLASS_NOISE)), len(self.class_sums) - 1)
+        rows, noise = w.classes.take(kind, 0), w.classes.take(drawn, 0)
+        right = 1 - _sigmoid(np.einsum("ij,ij->i", predicted, rows) - self.class_handicap.take(kind))
+        lowered, half = noise.copy(), noise[:, :d] / 2
+        lowered[:, d] -= self.class_handicap.take(drawn)
+        lowered /= 2
+        back, noise_up = rows[:, :d] * right[:, None] - half.sum(axis=0), np.tile(predicted.sum(axis=0), (CLASS_NOISE, 1))
+        for a in range(0, len(z), CACHED // CLASS_NOISE):
+            s = slice(a, a + CACHED // CLASS_NOISE)
+            wrong = predicted[s] @ lowered.T  # a sigmoid is (1 + tanh of the half) / 2
+            np.tanh(wrong, out=wrong)
+            back[s] -= wrong @ half
+            noise_up += wrong.T @ predicted[s]
+        class_up = np.zeros_like(w.classes)
+        class_up[kinds] = np.add.reduceat(predicted * right[:, None], first, axis=0)
+        np.subtract.at(class_up, drawn, noise_up / 2)
+        # symbols: noise from the group's class
+        rows = w.own.take(z, 0)
+        error = 1 - _sigmoid(np.einsum("ij,ij->i", predicted, rows) - self.own_handicap.take(z))
+        back += rows[:, :d] * error[:, None]
+        low, high = np.repeat(v.bounds.take(kinds), groups)[:, None], np.repeat(v.bounds.take(kinds + 1), groups)[:, None]
+        under, over = v.cumulated.take(low), v.cumulated.take(high)
+        noisy = np.searchsorted(v.cumulated, under + self.rng.random((n, OWN_NOISE)) * (over - under), "right") - 1
+        noisy = np.clip(noisy, low, high - 1).astype(np.int32)
+        noise = w.own.take(noisy, 0)
+        lowered = noise.copy()
+        lowered[:, :, d] -= self.own_handicap.take(noisy)
+        grouped = all_.reshape(n, SHARERS, d + 1)
+        wrong = _sigmoid(grouped @ lowered.transpose(0, 2, 1))
+        back -= (wrong @ noise).reshape(-1, d + 1).take(place, 0)[:, :d]
+        own_up = np.concatenate([_sums(predicted * error[:, None], words), -(wrong.transpose(0, 2, 1) @ grouped).reshape(-1, d + 1)])
+        context_up = np.concatenate([back @ p.T for p in w.places])
+        self.classes += np.einsum("ij,ij->i", class_up, class_up) / (d + 1)
+        w.classes += STEP * class_up / np.sqrt(self.classes + 1e-6)[:, None]
+        _rise(w.own, self.own, np.concatenate([z.take(words), noisy.ravel()]), own_up)
+        _rise(w.context, self.context, np.concatenate([x, y]), context_up)
         g = np.stack([c.T @ back for c in context])
         self.places += g * g
         w.places += STEP * g / np.sqrt(self.places)
@@ -200,9 +264,9 @@ class Trainer:
         first, w = Weights(self.vocabulary), self.weights
         small = np.concatenate([(w.classes - first.classes).ravel(), (w.places - first.places).ravel()])
         yield -1, small, np.full(1, self.seen, np.float32)
-        for b, a in enumerate(range(0, len(w.symbols), rows)):
+        for b, a in enumerate(range(0, len(w.own), rows)):
             s = slice(a, a + rows)
-            yield b, (w.symbols[s] - first.symbols[s]).ravel(), np.stack([self.context[s] > 0, self.own[s] > 0], axis=1).astype(np.float32).ravel()
+            yield b, np.hstack([w.context[s] - first.context[s], w.own[s] - first.own[s]]).ravel(), np.stack([self.context[s] > 0, self.own[s] > 0], axis=1).astype(np.float32).ravel()
 
 
 def spread(weights: np.ndarray) -> np.ndarray:
@@ -219,5 +283,7 @@ def averaged(vocabulary: Vocabulary, parts: list[tuple[int, np.ndarray]], rows:
             w.classes += change[:n].reshape(w.classes.shape)
             w.places += change[n:].reshape(w.places.shape)
         else:
-            w.symbols[b * rows : (b + 1) * rows] += change.reshape(-1, w.symbols.shape[1])
+            change, s = change.reshape(-1, 2 * DIMENSIONS + 1), slice(b * rows, (b + 1) * rows)
+            w.context[s] += change[:, :DIMENSIONS]
+            w.own[s] += change[:, DIMENSIONS:]
     return w

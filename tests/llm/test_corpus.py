@@ -209,3 +209,24 @@ def test_classes_are_normalised():
     trainer.feed(x, y, (x + y) % 300)
     p = np.exp(trainer.weights.log_probabilities(words, np.full(300, 5), np.full(300, 300), np.arange(300)))
     assert math.isclose(p.sum(), 1, rel_tol=1e-4) and (p > 0).all()
+
+
+def test_lm_trains_on_every_training_token(spark, docs, monkeypatch):
+    seen, summed = [], lm_score._summed
+
+    def watched(parts, *keys):
+        got = summed(parts, *keys)
+        seen.append(sum(np.frombuffer(r.weights, "<f4").sum() for r in got.where("block = -1").collect()))
+        return got
+
+    monkeypatch.setattr(lm_score, "_summed", watched)
+    (n,) = {r.train_tokens for r in lm_score.score(spark, docs).collect()}
+    assert seen == [n, n]
+
+
+def test_sums_of_runs():
+    rng = np.random.default_rng(4)
+    for most in (1, 3, 40):
+        lengths = rng.integers(1, most + 1, 500)
+        rows, starts = rng.normal(size=(lengths.sum(), 3)).astype(np.float32), np.cumsum(lengths) - lengths
+        assert np.allclose(log_bilinear._sums(rows, starts), np.add.reduceat(rows, starts, axis=0), atol=1e-4)

@@ -93,7 +93,8 @@ def cell_overlaps(cells: DataFrame, polygons: DataFrame, size: float, least_area
     box = (F.col("c_xmax") > F.col("xmin")) & (F.col("c_xmin") < F.col("xmax")) & (F.col("c_ymax") > F.col("ymin")) & (F.col("c_ymin") < F.col("ymax"))
     first = (F.col("_bx") == F.floor(F.greatest("c_xmin", "xmin") / size)) & (F.col("_by") == F.floor(F.greatest("c_ymin", "ymin") / size))
     near = left.join(right, ["_bx", "_by"]).where(box & first)
-    got = _tested(near, ["geometry", "c_xmin", "c_ymin", "c_xmax", "c_ymax"], lambda g, *b: [wkb.area_in_box(a, c) for a, *c in zip(g, *b, strict=True)], "overlap")
+    near = near.sortWithinPartitions("geometry")  # a polygon's cells reach Python together
+    got = _tested(near, ["geometry", "c_xmin", "c_ymin", "c_xmax", "c_ymax"], by_geometry(wkb.areas_in_boxes), "overlap")
     area = (F.col("c_xmax") - F.col("c_xmin")) * (F.col("c_ymax") - F.col("c_ymin"))
     kept = got.where((F.col("overlap") > 0) & (F.col("overlap") > least_area))
     return kept.withColumn("fraction", F.least(F.greatest(F.col("overlap") / area, F.lit(0.0)), F.lit(1.0))).drop("_bx", "_by")

@@ -293,6 +293,20 @@ def test_boxes_share_out_an_area(points):
     assert sum(wkb.clipped_area(ring, b) for b in boxes) == pytest.approx(abs(wkb.ring_area(ring)), abs=1e-9)
 
 
+def test_areas_in_many_boxes():
+    """All boxes at once as one by one: outside, inside, touching, with a hole, in a ring that crosses itself."""
+    hole = [(1, 1), (2, 1), (2, 2.5), (1, 2)]
+    shapes = [wkb.polygon([(0, 0), (4, 0.3), (3, 4), (0.5, 3)], hole), wkb.polygon([(0, 0), (3, 3), (3, 0), (0, 3)]), wkb.polygon([(0, 0), (3, 0), (0, 3)])]
+    low = np.array([(x / 4, y / 4) for x in range(-6, 18) for y in range(-6, 18)])
+    for shape in [*shapes, wkb.multipolygon([p for s in shapes for p in wkb.parts(s)])]:
+        for size in (0.25, 1, 20):
+            boxes = np.hstack([low, low + size])
+            want = np.array([wkb.area_in_box(shape, b) for b in boxes])
+            got = wkb.areas_in_boxes(shape, *boxes.T)
+            assert np.allclose(got, want, rtol=0, atol=1e-12) and ((got > 0) == (want > 0)).all()
+    assert wkb.areas_in_boxes(shapes[0], *np.empty((4, 0))).shape == (0,)
+
+
 def test_overlaps(spark):
     cells = spark.createDataFrame([(k, float(k % 3), float(k // 3), float(k % 3 + 1), float(k // 3 + 1)) for k in range(9)], "cell_id long, c_xmin double, c_ymin double, c_xmax double, c_ymax double")
     shape = wkb.polygon([(0, 0), (1.5, 0), (1.5, 1.5), (0, 1.5)])
